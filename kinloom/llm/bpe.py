@@ -190,7 +190,7 @@ def encode_documents(df: DataFrame, path: str, pattern: str, id_col: str = "doc_
 
         def one(batch):
             rows = [project(enc, enc.encode(t)) for t in batch.column(1).to_pylist()]
-            return [batch.column(0), *([list(c) for c in zip(*rows)] if rows else [[] for _ in ddl.split(",")])]
+            return [batch.column(0), *map(list, zip(*rows))]
 
         return one
 

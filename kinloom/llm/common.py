@@ -46,7 +46,7 @@ def map_chunks(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], list
         one = None
         for batch in batches:
             one = one or make()
-            for at in range(0, batch.num_rows, chunk):
+            for at in range(0, batch.num_rows, chunk):  # an empty batch has none
                 columns = one(batch.slice(at, chunk))
                 yield pa.RecordBatch.from_arrays([c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
 

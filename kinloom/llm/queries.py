@@ -7,14 +7,28 @@ import hashlib
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, packing, secret_scan, token_counts
+from . import audio, bpe, fingerprints, packing, secret_scan, token_counts, toxicity
 from .common import read_table
 
 
+def op1_fingerprints(spark, sf_dir):
+    return fingerprints.fingerprint_edited(read_table(spark, sf_dir, "documents"))
+
+
 def op2_token_counts(spark, sf_dir, path=None):
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), path or public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_audio_features(spark, sf_dir):
+    return audio.media_columns(read_table(spark, sf_dir, "documents"), project=audio.digest, ddl="n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+
+
+def op6_toxicity(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    lexicon = toxicity.learn(docs, read_table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, lexicon).select("doc_id", F.coalesce(toxicity.held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "hits", "words")
+
+
 def op7_secret_scan(spark, sf_dir):
     found = secret_scan.find_secrets(read_table(spark, sf_dir, "documents"))
     line = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
@@ -36,5 +50,5 @@ def op9_packing(spark, sf_dir, path=None):
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), path or public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op7_secret_scan, op8_byte_bpe, op9_packing)}
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_token_counts, op5_audio_features, op6_toxicity, op7_secret_scan, op8_byte_bpe, op9_packing)}
 ORACLE_SQL: dict[str, str] = {}

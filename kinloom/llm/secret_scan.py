@@ -6,7 +6,11 @@ import re
 import zlib
 
 import ahocorasick
+import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 from .common import documents, map_chunks
 
@@ -109,12 +113,10 @@ def cover(text: str, spans: list[tuple[int, str, int]], mark: str) -> str:
 
 def redact(df: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """``df`` with every secret of its text column replaced; overlapping spans by one mark. Null texts stay null."""
-    from pyspark.sql import functions as F
-    from pyspark.sql.functions import pandas_udf
 
-    @pandas_udf("string")
-    def covered(texts):
+    @pandas_udf(StringType())
+    def covered(texts: pd.Series) -> pd.Series:
         hits = automaton()
-        return texts.map(lambda t: None if t is None else cover(t, scan(t, hits), mark))
+        return pd.Series([None if t is None else cover(t, scan(t, hits), mark) for t in texts], dtype=object)
 
     return df.withColumn(text_col, covered(F.col(text_col)))

@@ -1,0 +1,93 @@
+import math
+import random
+import re
+import zlib
+
+import pytest
+
+from kinloom.llm import secret_scan, toxicity
+
+from .conftest import odd_texts
+
+
+def brute(text):
+    out = [(m.start(), "assign", m.end()) for m in secret_scan.ASSIGN.finditer(text) if len(m[2]) >= 8]
+    out += [(m.start(), "access", m.end()) for m in secret_scan.ACCESS.finditer(text) if len(m[0]) >= 16]
+    out += [(m.start(), "hex", m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+    return sorted(out, key=lambda s: (s[0], secret_scan.KINDS.index(s[1])))
+
+
+def test_scan_equals_brute_force():
+    r, hits = random.Random(1), secret_scan.automaton()
+    parts = ["password", "token", "TOKEN", "=", ":", " ", '"', "abcdefgh", "AKIA", "AKIAABCDEFGHIJKL", "0123456789abcdef" * 2, "f", "api_key", "apiKEY", "z", "\n", "secret", "ſ", "é", "İ"]
+    for _ in range(20_000):
+        text = "".join(r.choice(parts) for _ in range(r.randint(0, 14)))
+        assert secret_scan.scan(text, hits) == brute(text)
+
+
+def test_signed_tokens_need_their_checksum():
+    hits, body = secret_scan.automaton(), "A1b2C3d4E5f6G7h8I9j0K1l2M3n4O5"
+    good = f"x ghp_{body}{secret_scan.checksum(body)} y"
+    assert [k for _, k, _ in secret_scan.scan(good, hits)] == ["github"]
+    assert secret_scan.scan(good.replace("A1b2", "A1b3"), hits) == []
+    assert [k for _, k, _ in secret_scan.scan(f"npm_{body}{secret_scan.checksum(body)}", hits)] == ["npm"]
+
+
+def test_secret_operator(spark, make_docs):
+    docs = make_docs([(1, None), (2, "password = hunter2hunter2"), (2, "password = hunter2hunter2"), (None, "é AKIA" + "A" * 16)]).selectExpr("*", "1 as spans")
+    rows = sorted((r.doc_id or 0, [tuple(s) for s in r.spans]) for r in secret_scan.find_secrets(docs).collect())
+    assert rows == [(0, [("access", 2, 22)]), (1, []), (2, [("assign", 0, 25)]), (2, [("assign", 0, 25)])]
+    assert [r.text for r in secret_scan.redact(docs).where("doc_id = 2").collect()] == ["[SECRET]"] * 2
+    assert secret_scan.find_secrets(make_docs([])).collect() == []
+
+
+def labelled(spark, n=1500):
+    r = random.Random(7)
+    words = ["".join(r.choice(["an", "re", "tion", "st", "ou", "le"]) for _ in range(r.randint(1, 4))) for _ in range(400)]
+    rows, labels = [], []
+    for i in range(n):
+        text = [r.choice(words) for _ in range(r.randint(5, 200))]
+        toxic = int(r.random() < 0.15)
+        if toxic:
+            for _ in range(max(1, len(text) // 20)):
+                text[r.randrange(len(text))] = r.choice(["grobian", "gr0bian", "snarg" + r.choice(words), "SNARG"])
+        rows.append((i, " ".join(text)))
+        labels.append((i, toxic))
+    return rows, spark.createDataFrame(labels, "doc_id long, toxic int")
+
+
+@pytest.fixture(scope="module")
+def lexicon(spark, make_docs):
+    rows, labels = labelled(spark)
+    return rows, labels, toxicity.learn(make_docs(rows), labels)
+
+
+def test_held_out_accuracy(spark, make_docs, lexicon):
+    rows, labels, learned = lexicon
+    truth = {r.doc_id: r.toxic for r in labels.collect()}
+    assert {"grobian", "snarg"} <= set(learned.weights)
+    scored = [r for r in toxicity.score(make_docs(rows), learned).collect() if zlib.crc32(str(r.doc_id).encode()) % 3 == 1]
+    assert sum((r.score >= 0.7) == bool(truth[r.doc_id]) for r in scored) / len(scored) > 0.97
+
+
+def test_folding_and_exceptions():
+    learned = toxicity.Lexicon({"idiot": 5.0, "trash": 5.0}, slope=2, offset=-3)
+    hits = learned.automaton()
+    assert toxicity.weigh("You 1d10t", hits)[1] == 1
+    assert toxicity.weigh("іdіоt", hits)[1] == 1
+    assert toxicity.weigh("idiot proof trash can", hits)[1] == 0
+    assert toxicity.weigh("xidiot", hits)[1] == 0
+
+
+def test_no_labels(spark, make_docs):
+    docs, none = make_docs([(1, "a"), (2, None)]), spark.createDataFrame([], "doc_id long, toxic int")
+    learned = toxicity.learn(docs, none)
+    assert {round(r.score, 3) for r in toxicity.score(docs, learned).collect()} == {round(1 / (1 + math.exp(3)), 3)}
+    assert toxicity.score(make_docs([]), learned).collect() == []
+    assert toxicity.score(make_docs(list(enumerate(odd_texts()))), learned).count() == len(odd_texts())
+
+
+def test_reject_keeps_clean_rows_and_columns(spark, make_docs, lexicon):
+    docs = make_docs([(1, "anstre ou le " * 9), (2, "grobian " * 9), (3, None)])
+    kept = toxicity.reject(docs, lexicon[2])
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3] and kept.columns == docs.columns
