@@ -7,7 +7,7 @@ import hashlib
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import audio, bpe, fingerprints, packing, secret_scan, token_counts, toxicity
+from . import audio, bpe, fingerprints, packing, quality, secret_scan, token_counts, toxicity
 from .common import read_table
 
 
@@ -19,6 +19,10 @@ def op2_token_counts(spark, sf_dir, path=None):
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), path or public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_quality(spark, sf_dir):
+    return quality.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op5_audio_features(spark, sf_dir):
     return audio.media_columns(read_table(spark, sf_dir, "documents"), project=audio.digest, ddl="n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
 
@@ -50,5 +54,5 @@ def op9_packing(spark, sf_dir, path=None):
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), path or public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_token_counts, op5_audio_features, op6_toxicity, op7_secret_scan, op8_byte_bpe, op9_packing)}
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_token_counts, op3_quality, op5_audio_features, op6_toxicity, op7_secret_scan, op8_byte_bpe, op9_packing)}
 ORACLE_SQL: dict[str, str] = {}
