@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import REMEMBERED, Merges, byte_letters, read_vocabulary
+from .bpe import REMEMBERED, byte_letters, read_vocabulary
 from .common import documents, map_chunks, written
 
 #: Fixed value: how word vocabularies with word ends split lower-cased text.
@@ -27,38 +27,40 @@ UNUSUAL = re.compile("[^\t\n\r -~¡-įı-ɏ]")
 
 
 class WordEncoder(dict):
-    """Lower-case pre-token -> packed ids; filled as pre-tokens come."""
+    """Lower-case word, as white space bounds it -> packed ids; filled as words come. Pre-tokens inside words are remembered too."""
 
     def __init__(self, path: str):
         super().__init__()
+        from tokenizers import Tokenizer
+
         spec = read_vocabulary(path)
-        vocab, end = spec["model"]["vocab"], spec["model"]["end_of_word_suffix"]
-        pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec["model"]["merges"]]
-        rules = {vocab[a] << 20 | vocab[b]: n for n, (a, b) in reversed(list(enumerate(pairs)))}
-        letters = byte_letters()
-        self.inner, self.last = [vocab[letters[b]] for b in range(256)], [vocab[letters[b] + end] for b in range(256)]
-        self.merges = Merges(self.inner, lambda a, b: rules.get(a << 20 | b, -1), [vocab[a + b] for a, b in pairs], len(pairs))
+        self.library = Tokenizer.from_file(path)
         self.marks = [t["content"] for t in spec["added_tokens"]]
-        size = 1 + max(max(vocab.values()), *(t["id"] for t in spec["added_tokens"]))
+        size = 1 + max(*spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"]))
         self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
-        self.find, self.path, self.library = regex.compile(SPLIT).findall, path, None
+        self.find, self.pieces = regex.compile(SPLIT).findall, {}
+        self.letters = {b: c for b, c in byte_letters().items() if chr(b) != c}
 
-    def __missing__(self, piece: str) -> bytes:
-        raw = piece.encode()
-        out = np.array(self.merges.merge([self.inner[b] for b in raw[:-1]] + [self.last[raw[-1]]]), self.kind).tobytes()
+    def __missing__(self, word: str) -> bytes:
         if len(self) >= REMEMBERED:
             self.clear()
+        out = b"".join([self.pieces.get(p) or self.merged(p) for p in self.find(word)])
+        if len(word) <= 64:
+            self[word] = out
+        return out
+
+    def merged(self, piece: str) -> bytes:
+        if len(self.pieces) >= REMEMBERED:
+            self.pieces.clear()
+        raw = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+        out = np.array([t.id for t in self.library.model.tokenize(raw)], self.kind).tobytes()
         if len(piece) <= 64:
-            self[piece] = out
+            self.pieces[piece] = out
         return out
 
     def encode(self, text: str) -> bytes:
         if (text.isascii() and text.isprintable() or not UNUSUAL.search(text)) and not any(m in text for m in self.marks):
-            return b"".join(map(self.__getitem__, self.find(text.lower())))
-        if self.library is None:
-            from tokenizers import Tokenizer
-
-            self.library = Tokenizer.from_file(self.path)
+            return b"".join(map(self.__getitem__, text.lower().split()))
         return np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
 
