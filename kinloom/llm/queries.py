@@ -7,7 +7,7 @@ import hashlib
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import audio, bpe, fingerprints, packing, quality, secret_scan, token_counts, toxicity
+from . import audio, bpe, fingerprints, jaccard_join, packing, quality, secret_scan, token_counts, toxicity
 from .common import read_table
 
 
@@ -54,5 +54,9 @@ def op9_packing(spark, sf_dir, path=None):
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), path or public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_token_counts, op3_quality, op5_audio_features, op6_toxicity, op7_secret_scan, op8_byte_bpe, op9_packing)}
+def op10_jaccard_join(spark, sf_dir):
+    return jaccard_join.similarity_join(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_token_counts, op3_quality, op5_audio_features, op6_toxicity, op7_secret_scan, op8_byte_bpe, op9_packing, op10_jaccard_join)}
 ORACLE_SQL: dict[str, str] = {}
