@@ -7,7 +7,7 @@ import hashlib
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import audio, bpe, fingerprints, jaccard_join, packing, quality, secret_scan, token_counts, toxicity
+from . import audio, bpe, fingerprints, jaccard_join, packing, pitman_yor, quality, secret_scan, token_counts, toxicity
 from .common import read_table
 
 
@@ -23,6 +23,10 @@ def op3_quality(spark, sf_dir):
     return quality.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op4_pitman_yor(spark, sf_dir):
+    return pitman_yor.score_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op5_audio_features(spark, sf_dir):
     return audio.media_columns(read_table(spark, sf_dir, "documents"), project=audio.digest, ddl="n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
 
@@ -58,5 +62,5 @@ def op10_jaccard_join(spark, sf_dir):
     return jaccard_join.similarity_join(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_token_counts, op3_quality, op5_audio_features, op6_toxicity, op7_secret_scan, op8_byte_bpe, op9_packing, op10_jaccard_join)}
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_token_counts, op3_quality, op4_pitman_yor, op5_audio_features, op6_toxicity, op7_secret_scan, op8_byte_bpe, op9_packing, op10_jaccard_join)}
 ORACLE_SQL: dict[str, str] = {}
