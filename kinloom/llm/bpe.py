@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import json
+from array import array
 from collections.abc import Callable
 from functools import lru_cache
 from heapq import heappop, heappush
@@ -22,8 +23,30 @@ from .common import documents, map_chunks
 
 #: Bits of a word of the lower bitmap level.
 WORD = 8
-#: Pre-tokens that a worker remembers; a bound on memory, not on what is encoded.
-REMEMBERED = 600_000
+#: Pre-tokens in each of the two generations that a worker remembers; a bound on memory, not on what is encoded.
+REMEMBERED = 700_000
+
+
+class Remembering(dict):
+    """``make(key)`` of the keys that came lately. A full generation becomes the old one, from which keys in use come back."""
+
+    def __init__(self):
+        super().__init__()
+        self.old: dict = {}
+
+    def make(self, key: str):
+        raise NotImplementedError
+
+    def __missing__(self, key: str):
+        out = self.old.pop(key, None)
+        if out is None:
+            out = self.make(key)
+        if len(self) >= REMEMBERED:
+            self.old = dict(self)
+            self.clear()
+        if len(key) <= 64:
+            self[key] = out
+        return out
 
 
 class Merges:
@@ -46,8 +69,7 @@ class Merges:
         mask = (1 << WORD) - 1
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         a = symbols[0]
-        for i in range(n - 1):
-            b = symbols[i + 1]
+        for i, b in enumerate(symbols[1:]):
             key = a << 20 | b
             r = known.get(key)
             if r is None:
@@ -79,22 +101,30 @@ class Merges:
             a = symbols[i] = joined[r]
             symbols[j] = -1
             k = after[i] = after[j]
-            fresh = []
             if k < n:
                 before[k] = i
-                fresh.append((i, a << 20 | symbols[k], a, symbols[k]))
+                b = symbols[k]
+                q = known.get(a << 20 | b)
+                if q is None:
+                    q = known[a << 20 | b] = pair(a, b)
+                if q >= 0:
+                    if q in buckets:
+                        heappush(buckets[q], i)
+                    else:
+                        buckets[q] = [i]
+                        low[q >> WORD] |= 1 << (q & mask)
+                        top |= 1 << (q >> WORD)
             h = before[i]
             if h >= 0:
-                fresh.append((h, symbols[h] << 20 | a, symbols[h], a))
-            for at, key, x, y in fresh:
-                q = known.get(key)
+                b = symbols[h]
+                q = known.get(b << 20 | a)
                 if q is None:
-                    q = known[key] = pair(x, y)
+                    q = known[b << 20 | a] = pair(b, a)
                 if q >= 0:
                     if q in buckets:
-                        heappush(buckets[q], at)
+                        heappush(buckets[q], h)
                     else:
-                        buckets[q] = [at]
+                        buckets[q] = [h]
                         low[q >> WORD] |= 1 << (q & mask)
                         top |= 1 << (q >> WORD)
         if len(known) > 4_000_000:
@@ -140,27 +170,25 @@ def read_vocabulary(path: str) -> dict:
         return json.load(file)
 
 
-class Encoder(dict):
-    """Pre-token -> its ids, packed as little-endian 32-bit numbers; filled as pre-tokens come."""
+class Encoder(Remembering):
+    """Pre-token -> its ids, packed as 32-bit numbers; filled as pre-tokens come."""
 
     def __init__(self, path: str, pattern: str):
         super().__init__()
-        self.bytes_of = {v: k for k, v in read_ranks(path).items()}
-        self.ranks, self.merges = read_ranks(path), rank_merges(read_ranks(path))
+        self.ranks = read_ranks(path)
+        self.merges = rank_merges(self.ranks)
         self.find = regex.compile(pattern).findall
+        self.bytes_of, self.decimal = [b""] * (max(self.ranks.values()) + 1), list(map(str, range(max(self.ranks.values()) + 1)))
+        for raw, number in self.ranks.items():
+            self.bytes_of[number] = raw
 
-    def __missing__(self, piece: str) -> bytes:
+    def make(self, piece: str) -> bytes:
         raw = piece.encode("utf-8", "surrogatepass")
         whole = self.ranks.get(raw)
-        out = np.array([whole] if whole is not None else self.merges.encode(raw), "<u4").tobytes()
-        if len(self) >= REMEMBERED:
-            self.clear()
-        if len(piece) <= 64:
-            self[piece] = out
-        return out
+        return array("I", [whole] if whole is not None else self.merges.encode(raw)).tobytes()
 
     def encode(self, text: str) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.__getitem__, self.find(text))), "<u4")
+        return np.frombuffer(b"".join(map(self.__getitem__, self.find(text))), np.uint32)
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))

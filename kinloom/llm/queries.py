@@ -48,7 +48,7 @@ def op7_secret_scan(spark, sf_dir):
 def op8_byte_bpe(spark, sf_dir, path=None):
     def digests(enc, ids):
         numbers = ids.tolist()
-        line = ",".join(map(str, numbers))
+        line = ",".join(map(enc.decimal.__getitem__, numbers))
         return len(numbers), hashlib.sha256(line.encode()).hexdigest(), hashlib.sha256(enc.decode(numbers)).hexdigest()
 
     return bpe.encode_documents(read_table(spark, sf_dir, "documents"), path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, project=digests, ddl="n_tokens long, ids_sha256 string, decoded_sha256 string")
