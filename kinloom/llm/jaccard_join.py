@@ -277,7 +277,16 @@ def similarity_join(df: DataFrame, similarity: float = SIMILARITY, width: int =
 
 
 def one_of_each(df: DataFrame, similarity: float = SIMILARITY, width: int = WIDTH, recall: float = RECALL) -> DataFrame:
-    """``df`` with one row of each class, that of the least doc_id (of equal ids the first text); rows with null ids only go if a row with an id stays for them."""
-    spread = similarity_join(df, similarity, width, recall)
-    gone = spread.where("class_id is not null and (doc_id is null or doc_id <> class_id)").select("doc_id").where("doc_id is not null").distinct()
-    return df.join(gone, "doc_id", "left_anti")
+    """``df`` (with doc_id, text) with one row of each class of ``similarity_join``: that of the least doc_id.
+
+    Of rows that repeat an id and a text one stays; different texts under one id go or stay together
+    by the least class of them. Rows with a null id can't be named, so they stay.
+    """
+    spread = written(similarity_join(df, similarity, width, recall).where("doc_id is not null").select("doc_id", "class_id"), "near-copies")
+    by_id = spread.groupBy("doc_id").agg(F.min("class_id").alias("class_id"), F.count(F.lit(1)).alias("n"))
+    left = df.join(by_id.where("doc_id <> class_id").select("doc_id"), "doc_id", "left_anti").select(df.columns)
+    repeated = by_id.where("n > 1").select("doc_id")
+    if repeated.isEmpty():
+        return left
+    repeated = written(repeated, "repeated-ids")
+    return left.join(repeated, "doc_id", "left_anti").select(df.columns).unionByName(left.join(repeated, "doc_id", "left_semi").select(df.columns).dropDuplicates(["doc_id", "text"]))

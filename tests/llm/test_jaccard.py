@@ -93,3 +93,8 @@ def test_one_of_each(spark, make_docs):
     kept = jj.one_of_each(make_docs(rows))
     assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, c, _ in brute(rows)})
     assert Counter(kept.columns) == Counter(make_docs([]).columns)
+
+
+def test_one_of_each_with_repeated_rows(spark, make_docs):
+    kept = jj.one_of_each(make_docs([(1, "a b c d e f g"), (1, "a b c d e f g"), (2, "a b c d e f g"), (None, "a b c d e f g"), (3, "x y z"), (3, "other words")]))
+    assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == [("1", "a b c d e f g"), ("3", "other words"), ("3", "x y z"), ("None", "a b c d e f g")]
