@@ -150,14 +150,6 @@ def rank_merges(ranks: dict[bytes, int]) -> Merges:
     return Merges([ranks[bytes([b])] for b in range(256)], lambda a, b: ranks.get(by_id[a] + by_id[b], -1), range(max(by_id) + 1), max(by_id) + 1)
 
 
-def listed_merges(vocab: dict[str, int], merges: list) -> Merges:
-    """Merges of a vocabulary file with a list of merges: a pair joins if it is listed, the earlier the sooner."""
-    pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in merges]
-    rules = {vocab[a] << 20 | vocab[b]: n for n, (a, b) in reversed(list(enumerate(pairs)))}
-    letters = byte_letters()
-    return Merges([vocab[letters[b]] for b in range(256)], lambda a, b: rules.get(a << 20 | b, -1), [vocab[a + b] for a, b in pairs], len(pairs))
-
-
 @lru_cache(maxsize=4)
 def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as lines:

@@ -6,8 +6,9 @@ from functools import lru_cache
 
 import regex
 from pyspark.sql import DataFrame
+from tokenizers import Tokenizer
 
-from .bpe import REMEMBERED, Merges, byte_letters, listed_merges, read_vocabulary
+from .bpe import Remembering, byte_letters, read_vocabulary
 from .common import documents, map_chunks
 
 #: Fixed value: how byte-level vocabularies split text before merging.
@@ -16,62 +17,46 @@ SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 AGREED = "ɏ"
 
 
+@lru_cache(maxsize=2)
+def library(path: str) -> Tokenizer:
+    return Tokenizer.from_file(path)
+
+
 @lru_cache(maxsize=2)
 def whole_tokens(path: str) -> frozenset[str]:
     """The vocabulary strings that encode alone as one token, proved by merging each of them from its bytes."""
-    model = read_vocabulary(path)["model"]
-    merges, letters = _merges(path), byte_letters()
-    back = {c: b for b, c in letters.items()}
+    model, back = library(path).model, _back()
     proved = set()
-    for token, number in model["vocab"].items():
-        if any(c not in back for c in token):
-            continue
-        raw = bytes(back[c] for c in token)
-        if merges.encode(raw) == [number]:
+    for token, number in read_vocabulary(path)["model"]["vocab"].items():
+        if all(c in back for c in token) and [t.id for t in model.tokenize(token)] == [number]:
             try:
-                proved.add(raw.decode("utf-8"))
+                proved.add(bytes(map(back.__getitem__, token)).decode("utf-8"))
             except UnicodeDecodeError:
                 pass  # part of a character: never a pre-token of its own
     return frozenset(proved)
 
 
-@lru_cache(maxsize=2)
-def _merges(path: str) -> Merges:
-    model = read_vocabulary(path)["model"]
-    return listed_merges(model["vocab"], model["merges"])
-
-
-class Counter(dict):
-    """Pre-token -> number of tokens. The proved ones are there from the start; others are merged when they come."""
+class Counter(Remembering):
+    """Pre-token -> number of tokens: one for the proved ones; others are merged when they come."""
 
     def __init__(self, path: str):
-        super().__init__(dict.fromkeys(whole_tokens(path), 1))
-        spec = read_vocabulary(path)
-        self.path, self.merges, self.proved = path, _merges(path), len(self)
+        super().__init__()
+        self.library, self.whole = library(path), whole_tokens(path)
         self.find = regex.compile(SPLIT).findall
-        specials = [t["content"] for t in spec["added_tokens"] if t["special"]]
-        self.specials = regex.compile("|".join(map(regex.escape, sorted(specials, key=len, reverse=True)))) if specials else None
-        self.marks = specials
-        self.library = None
-
-    def __missing__(self, piece: str) -> int:
-        n = len(self.merges.encode(piece.encode("utf-8", "surrogatepass")))
-        if len(self) >= self.proved + REMEMBERED:
-            self.clear()
-            self.update(dict.fromkeys(whole_tokens(self.path), 1))
-        if len(piece) <= 64:
-            self[piece] = n
-        return n
+        self.letters = {b: c for b, c in byte_letters().items() if chr(b) != c}
+        self.marks = [t["content"] for t in read_vocabulary(path)["added_tokens"] if t["special"]]
+        self.specials = regex.compile("|".join(map(regex.escape, sorted(self.marks, key=len, reverse=True)))) if self.marks else None
+
+    def make(self, piece: str) -> int:
+        if piece in self.whole:
+            return 1
+        return len(self.library.model.tokenize(piece.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)))
 
     def split(self, text: str) -> list[str]:
         if text.isascii() or max(text) <= AGREED:
             return self.find(text)
-        if self.library is None:
-            from tokenizers import Tokenizer
-
-            self.library = Tokenizer.from_file(self.path).pre_tokenizer
         back = _back()
-        return [bytes(map(back.__getitem__, piece)).decode("utf-8") for piece, _ in self.library.pre_tokenize_str(text)]
+        return [bytes(map(back.__getitem__, piece)).decode("utf-8") for piece, _ in self.library.pre_tokenizer.pre_tokenize_str(text)]
 
     def count(self, text: str) -> int:
         if not text:
