@@ -16,20 +16,25 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import BooleanType
 
 from .common import documents, map_chunks, schema_of, written
 from .fingerprints import mixed, shingle_hashes
 
-SIMILARITY, WIDTH, DEPTH, DEEPER, ROUNDS, BLOCK, RECALL = 0.8, 5, 3, 2, 4, 256, 0.999
+SIMILARITY, WIDTH, DEPTH, DEEPER, SPLITS, ROUNDS, BLOCK, RECALL = 0.8, 5, 3, 2, 6, 4, 2048, 0.999
 EMPTY = 0
-#: Least similarity of sizes' larger to shared shingles that two sets over the threshold can have.
+#: 64-bit words of the bitmap of ids whose texts are wanted; it spares work and decides nothing.
+BITMAP = 1 << 18
+#: Comparing two sets alone costs as much as so many cells of a matrix product.
+ALONE = 20_000
 _ODD = np.uint64(0xFF51AFD7ED558CCD)
-_ODD2 = np.uint64(0xC4CEB9FE1A85EC53)
 
 
 def runs_for(recall: float, depth: int = DEPTH) -> int:
@@ -59,9 +64,9 @@ def follow(tokens: np.ndarray, nodes: np.ndarray, depth: int, similarity: float
     for _ in range(depth):
         rows, cols = [], []
         for at in range(0, len(nodes), step):
-            h = (tokens[None, :] ^ nodes[at : at + step, None]) * _ODD
-            h = (h ^ (h >> np.uint64(32))) * _ODD2
-            r, c = np.nonzero(h <= below)
+            h = tokens[None, :] ^ nodes[at : at + step, None]
+            h *= _ODD
+            r, c = np.divmod(np.flatnonzero(h <= below), len(tokens))
             rows.append(r + at)
             cols.append(c)
         if not rows:
@@ -75,30 +80,36 @@ def roots(runs: int) -> np.ndarray:
     return mixed(np.arange(1, runs + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
 
 
-def _pairs_of(sets: list[np.ndarray], similarity: float) -> np.ndarray:
-    """Which pairs are similar, by exact counting: an incidence matrix of the shingles that any two share."""
+def _similar(sets: list[np.ndarray], asked: np.ndarray, similarity: float) -> np.ndarray:
+    """Which of the pairs asked for are similar, by exact counting: one by one, or if they are many in a matrix of the shingles that any two sets share."""
     n = len(sets)
     sizes = np.array([len(s) for s in sets], np.float64)
-    if n == 2:
-        shared = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
-        both = np.array([[sizes[0], shared], [shared, sizes[1]]])
-    else:
+    asked = np.triu(asked, 1) & (np.minimum.outer(sizes, sizes) >= similarity * np.maximum.outer(sizes, sizes) - 1e-9)
+    out = np.zeros((n, n), bool)
+    a, b = np.nonzero(asked)
+    if not len(a):
+        return out
+    wide = 0
+    if len(a) > 8:
         found, where, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-        owner = np.repeat(np.arange(n), sizes.astype(int))
-        kept = times[where] > 1
-        column = (np.cumsum(times > 1) - 1)[where[kept]]
-        owner, wide = owner[kept], int((times > 1).sum())
+        wide = int((times > 1).sum())
+    if len(a) <= 8 or len(a) * ALONE <= float(n) * n * wide / 4:
+        for i, j in zip(a.tolist(), b.tolist()):
+            shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            out[i, j] = shared >= similarity * (sizes[i] + sizes[j] - shared) - 1e-9
+    else:
+        owner, kept = np.repeat(np.arange(n), sizes.astype(int)), times[where] > 1
+        column, owner = (np.cumsum(times > 1) - 1)[where[kept]], owner[kept]
         order = np.argsort(column, kind="stable")
         column, owner = column[order], owner[order]
-        both = np.zeros((n, n))
-        for at in range(0, wide, 8192):
-            a, b = np.searchsorted(column, [at, at + 8192])
-            m = np.zeros((n, min(8192, wide - at)), np.float32)
-            m[owner[a:b], column[a:b] - at] = 1
+        both = np.zeros((n, n), np.float32)  # counts below 2**24 are exact
+        for at in range(0, wide, 4096):
+            x, y = np.searchsorted(column, [at, at + 4096])
+            m = np.zeros((n, min(4096, wide - at)), np.float32)
+            m[owner[x:y], column[x:y] - at] = 1
             both += m @ m.T
-    out = both >= similarity * (sizes[:, None] + sizes[None] - both) - 1e-9
-    np.fill_diagonal(out, False)
-    return out
+        out[a, b] = both[a, b] >= similarity * (sizes[a] + sizes[b] - both[a, b]) - 1e-9
+    return out | out.T
 
 
 def _elsewhere(paths: list[np.ndarray], here: int) -> np.ndarray:
@@ -112,23 +123,22 @@ def _elsewhere(paths: list[np.ndarray], here: int) -> np.ndarray:
 
 
 def compare(path: int, i: int, j: int, blocks: np.ndarray, classes: np.ndarray, sets: list[np.ndarray], paths: list[np.ndarray], similarity: float) -> list[tuple[int, int, int]]:
-    """(class, links, least class of its component here) for the members that have links."""
+    """(class, links, least class of its component here) for the members that have links which count here."""
     if len(sets) < 2:
         return []
-    near = _pairs_of(sets, similarity)
+    asked = ~_elsewhere(paths, path)
     if i != j:
-        near &= blocks[:, None] != blocks[None]
+        asked &= blocks[:, None] != blocks[None]
+    near = _similar(sets, asked, similarity)
     if not near.any():
         return []
-    counted = near & ~_elsewhere(paths, path)
     label = classes.copy()
     while True:
-        least = np.where(near, label[None], np.iinfo(np.int64).max).min(1)
-        new = np.minimum(label, least)
+        new = np.minimum(label, np.where(near, label[None], np.iinfo(np.int64).max).min(1))
         if (new == label).all():
             break
         label = new
-    return [(int(c), int(n), int(m)) for c, n, m, any_ in zip(classes, counted.sum(1), label, near.any(1)) if any_]
+    return [(int(c), int(n), int(m)) for c, n, m in zip(classes, near.sum(1), label) if n]
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -161,6 +171,23 @@ def _met(reached: DataFrame) -> DataFrame:
     return by_path.groupBy("members", "a", "b").agg(F.min("path").alias("path")).select("path", "members")
 
 
+def marked(ids: DataFrame):
+    """A test that passes every id of ``ids``, every null and few others: a bitmap of fixed size. Ids by the billion fill it, and then it spares nothing."""
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(64 * BITMAP))
+    words = ids.where("doc_id is not null").groupBy((place / 64).cast("long").alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(xxhash64(doc_id), {64 * BITMAP}) % 64 as int))")).alias("bits")).collect()
+    bitmap = np.zeros(BITMAP, np.int64)
+    for r in words:
+        bitmap[r.word] = r.bits
+    shared = ids.sparkSession.sparkContext.broadcast(bitmap)
+
+    @pandas_udf(BooleanType())
+    def test(at: pd.Series) -> pd.Series:
+        bits, x = shared.value.view(np.uint64), at.to_numpy(np.int64)
+        return pd.Series((bits[x >> 6] >> (x & 63).astype(np.uint64)) & np.uint64(1) == 1)
+
+    return lambda column: F.col(column).isNull() | test(F.pmod(F.xxhash64(column), F.lit(64 * BITMAP)))
+
+
 def join_classes(docs: DataFrame, table: DataFrame, width: int, similarity: float) -> DataFrame:
     """class, links, root (a lower or equal class in the same component), once for each path and class."""
     spark = docs.sparkSession
@@ -176,8 +203,9 @@ def join_classes(docs: DataFrame, table: DataFrame, width: int, similarity: floa
 
         return one
 
-    meeting = written(members.select("class").distinct(), "classes-met")
-    whole = map_chunks(docs, sets, "class long, tokens binary").join(meeting, "class")
+    meeting = written(members.select("class").distinct().join(table.groupBy("class").agg(F.min("doc_id").alias("doc_id")), "class"), "classes-met")
+    wanted = marked(meeting)
+    whole = map_chunks(docs.where(wanted("doc_id")), sets, "class long, tokens binary").join(meeting.select("class"), "class")
     whole = written(whole.groupBy("class").agg(F.first("tokens").alias("tokens")), "class-sets")
 
     for _ in range(ROUNDS):
@@ -237,9 +265,6 @@ def join_classes(docs: DataFrame, table: DataFrame, width: int, similarity: floa
     return rows.select("path", "i", "j", "block", "class", "tokens", "paths").repartition(parts, "path", "i", "j").sortWithinPartitions(*order).mapInArrow(run, schema)
 
 
-SPLITS = 6
-
-
 def components(edges: DataFrame) -> DataFrame:
     """class, label: the least class of its component. Labels pass along edges and then jump, until none changes."""
     both = written(edges.select(F.col("class").alias("a"), F.col("root").alias("b")).where("a <> b").unionByName(edges.select(F.col("root").alias("a"), F.col("class").alias("b")).where("a <> b")).distinct(), "edges")
