@@ -83,8 +83,8 @@ def roots(runs: int) -> np.ndarray:
 def _similar(sets: list[np.ndarray], asked: np.ndarray, similarity: float) -> np.ndarray:
     """Which of the pairs asked for are similar, by exact counting: one by one, or if they are many in a matrix of the shingles that any two sets share."""
     n = len(sets)
-    sizes = np.array([len(s) for s in sets], np.float64)
-    asked = np.triu(asked, 1) & (np.minimum.outer(sizes, sizes) >= similarity * np.maximum.outer(sizes, sizes) - 1e-9)
+    sizes = np.array([len(s) for s in sets], np.float32)  # whole numbers below 2**24 are exact
+    asked = np.triu(asked, 1) & (np.minimum.outer(sizes, sizes) >= np.float32(similarity * 0.999) * np.maximum.outer(sizes, sizes))
     out = np.zeros((n, n), bool)
     a, b = np.nonzero(asked)
     if not len(a):
@@ -96,30 +96,40 @@ def _similar(sets: list[np.ndarray], asked: np.ndarray, similarity: float) -> np
     if len(a) <= 8 or len(a) * ALONE <= float(n) * n * wide / 4:
         for i, j in zip(a.tolist(), b.tolist()):
             shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-            out[i, j] = shared >= similarity * (sizes[i] + sizes[j] - shared) - 1e-9
+            out[i, j] = shared >= similarity * (float(sizes[i] + sizes[j]) - shared) - 1e-9
     else:
         owner, kept = np.repeat(np.arange(n), sizes.astype(int)), times[where] > 1
         column, owner = (np.cumsum(times > 1) - 1)[where[kept]], owner[kept]
         order = np.argsort(column, kind="stable")
         column, owner = column[order], owner[order]
-        both = np.zeros((n, n), np.float32)  # counts below 2**24 are exact
+        both = np.zeros((n, n), np.float32)
         for at in range(0, wide, 4096):
             x, y = np.searchsorted(column, [at, at + 4096])
             m = np.zeros((n, min(4096, wide - at)), np.float32)
             m[owner[x:y], column[x:y] - at] = 1
             both += m @ m.T
-        out[a, b] = both[a, b] >= similarity * (sizes[a] + sizes[b] - both[a, b]) - 1e-9
+        shared, whole = both[a, b].astype(np.float64), (sizes[a] + sizes[b]).astype(np.float64)
+        out[a, b] = shared >= similarity * (whole - shared) - 1e-9
     return out | out.T
 
 
 def _elsewhere(paths: list[np.ndarray], here: int) -> np.ndarray:
     """Pairs that also meet at a path with a lower number, where they are counted instead."""
+    n = len(paths)
     lower = [p[p < here] for p in paths]
-    every = np.unique(np.concatenate(lower))
-    m = np.zeros((len(paths), len(every)), np.float32)
-    for i, p in enumerate(lower):
-        m[i, np.searchsorted(every, p)] = 1
-    return (m @ m.T) > 0 if len(every) else np.zeros((len(paths),) * 2, bool)
+    found, where, times = np.unique(np.concatenate(lower), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(n), [len(p) for p in lower])
+    kept = times[where] > 1
+    column, owner = (np.cumsum(times > 1) - 1)[where[kept]], owner[kept]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    out = np.zeros((n, n), bool)
+    for at in range(0, int((times > 1).sum()), 4096):
+        x, y = np.searchsorted(column, [at, at + 4096])
+        m = np.zeros((n, int(column[y - 1]) - at + 1), np.float32)
+        m[owner[x:y], column[x:y] - at] = 1
+        out |= (m @ m.T) > 0
+    return out
 
 
 def compare(path: int, i: int, j: int, blocks: np.ndarray, classes: np.ndarray, sets: list[np.ndarray], paths: list[np.ndarray], similarity: float) -> list[tuple[int, int, int]]:
