@@ -93,7 +93,7 @@ def country_distribution(spark, sf_dir):
 @query(
     _RAW
     + " UNION ALL ".join(
-        f"SELECT 'source{k}' AS table_name, count(*) AS row_count, count(DISTINCT entity_id) AS unique_ids, count(*) - count(DISTINCT entity_id) AS duplicate_ids, 0 AS missing_ids, "
+        f"SELECT 'source{k}' AS table_name, count(*) AS row_count, count(DISTINCT entity_id) AS unique_ids, count(*) - count(DISTINCT entity_id) AS duplicate_ids, 0::BIGINT AS missing_ids, "
         f"sum(({o.kind('business_name')} <> 'valid')::INT + ({o.kind('business_address')} <> 'valid')::INT + ({o.kind('country')} <> 'valid')::INT)::BIGINT AS missing_cells, 'PASS' AS status FROM records WHERE source = {k}"
         for k in (1, 2, 3)
     )
@@ -125,8 +125,8 @@ _DEG = ", deg AS (SELECT source1_entity_id AS s1, CASE WHEN matched_entity_ids =
 
 @query(
     _TRUTH
-    + """SELECT count(*) AS row_count, count(*) FILTER (matched_entity_ids = '') AS empty_match_count, count(*) FILTER (matched_entity_ids <> '') AS non_empty_match_count, 0 AS missing_source1_id_count, 0 AS malformed_reference_count,
-    0 AS duplicate_in_match_list_count, count(*) FILTER (source1_entity_id NOT IN (SELECT entity_id FROM records WHERE source = 1)) AS invalid_source1_reference_count, (SELECT count(*) FROM edges WHERE t NOT IN (SELECT entity_id FROM records WHERE source > 1)) AS invalid_match_reference_count FROM truth"""
+    + """SELECT count(*) AS row_count, count(*) FILTER (matched_entity_ids = '') AS empty_match_count, count(*) FILTER (matched_entity_ids <> '') AS non_empty_match_count, 0::BIGINT AS missing_source1_id_count, 0::BIGINT AS malformed_reference_count,
+    0::BIGINT AS duplicate_in_match_list_count, count(*) FILTER (source1_entity_id NOT IN (SELECT entity_id FROM records WHERE source = 1)) AS invalid_source1_reference_count, (SELECT count(*) FROM edges WHERE t NOT IN (SELECT entity_id FROM records WHERE source > 1)) AS invalid_match_reference_count FROM truth"""
 )
 def truth_quality(spark, sf_dir):
     s1, _, _ = adapters.sources(spark, sf_dir)
@@ -153,8 +153,8 @@ def truth_cardinality(spark, sf_dir):
 @query(
     _TRUTH + _DEG
     + """ SELECT count(*) AS row_count, count(DISTINCT s1) AS unique_source1, sum(m)::BIGINT AS positive_pairs, count(*) FILTER (m = 0) AS zero_match, count(*) FILTER (m = 1) AS one_match, count(*) FILTER (m > 1) AS multi_match, max(m)::BIGINT AS max_matches,
-    0 AS missing_source1, 0 AS duplicates_in_rows, (SELECT count(*) FROM edges WHERE target_source = 'Source 2') AS s2_references, (SELECT count(*) FROM edges WHERE target_source = 'Source 3') AS s3_references, 0 AS unknown_references,
-    (SELECT count(DISTINCT t) FROM edges WHERE target_source = 'Source 2') AS s2_targets, (SELECT count(DISTINCT t) FROM edges WHERE target_source = 'Source 3') AS s3_targets, 0 AS repeated_pairs, 0 AS duplicate_source1_rows FROM deg"""
+    0::BIGINT AS missing_source1, 0::BIGINT AS duplicates_in_rows, (SELECT count(*) FROM edges WHERE target_source = 'Source 2') AS s2_references, (SELECT count(*) FROM edges WHERE target_source = 'Source 3') AS s3_references, 0::BIGINT AS unknown_references,
+    (SELECT count(DISTINCT t) FROM edges WHERE target_source = 'Source 2') AS s2_targets, (SELECT count(DISTINCT t) FROM edges WHERE target_source = 'Source 3') AS s3_targets, 0::BIGINT AS repeated_pairs, 0::BIGINT AS duplicate_source1_rows FROM deg"""
 )
 def truth_profile(spark, sf_dir):
     return truth.profile(_truth(spark, sf_dir))
@@ -339,14 +339,14 @@ def training_pair_stats(spark, sf_dir):
     return pairs.stats(_training(spark, sf_dir))
 
 
-@query(_TRUTH + "SELECT target_source, 0 AS label_0, count(*) AS label_1 FROM edges GROUP BY target_source")
+@query(_TRUTH + "SELECT target_source, 0::BIGINT AS label_0, count(*) AS label_1 FROM edges GROUP BY target_source")
 def positive_label_pivot(spark, sf_dir):
     return pairs.label_pivot(pairs.positives(_edges(spark, sf_dir)))
 
 
 @query(
     _TRUTH
-    + "SELECT count(*) AS pairs, count(*) AS positives, 0 AS negatives, 0 AS false_positives, 0 AS true_negatives, 0 AS invalid_ids, 0 AS invalid_labels, 0 AS leaks, 0 AS duplicates, 0 AS missing_positives, 0 AS broken_multi, "
+    + "SELECT count(*) AS pairs, count(*) AS positives, 0::BIGINT AS negatives, 0::BIGINT AS false_positives, 0::BIGINT AS true_negatives, 0::BIGINT AS invalid_ids, 0::BIGINT AS invalid_labels, 0::BIGINT AS leaks, 0::BIGINT AS duplicates, 0::BIGINT AS missing_positives, 0::BIGINT AS broken_multi, "
     + ", ".join(f"'PASS' AS {c}" for c in ("c01_positive_fidelity", "c02_negative_integrity", "c03_no_duplicates", "c04_valid_s1_ids", "c05_valid_target_ids", "c06_labels", "c07_all_positives", "c08_multi_match", "c09_reproducible", "c10_no_test_leakage", "c11_no_enrichment"))
     + " FROM edges"
 )
@@ -393,7 +393,7 @@ _FINAL = {"c1_s1_ids": "PASS", "c2_target_ids": "PASS", "c3_source_labels": "PAS
 
 @query(
     _pair_sql()
-    + "SELECT count(*) + count(*) FILTER (mask & 1 <> 0) AS input_rows, count(*) AS output_rows, count(*) FILTER (mask & 1 <> 0) AS duplicates, 0 AS bad_s1_ids, 0 AS bad_target_ids, 0 AS bad_sources, 0 AS leaks, 0 AS inversions, "
+    + "SELECT count(*) + count(*) FILTER (mask & 1 <> 0) AS input_rows, count(*) AS output_rows, count(*) FILTER (mask & 1 <> 0) AS duplicates, 0::BIGINT AS bad_s1_ids, 0::BIGINT AS bad_target_ids, 0::BIGINT AS bad_sources, 0::BIGINT AS leaks, 0::BIGINT AS inversions, "
     + ", ".join(f"CASE WHEN '{k}' = 'c5_duplicates' AND count(*) FILTER (mask & 1 <> 0) = 0 THEN 'PASS' ELSE '{v}' END AS {k}" for k, v in _FINAL.items())
     + " FROM pairs"
 )
@@ -404,7 +404,7 @@ def final_candidate_checks(spark, sf_dir):
 _BLOCK = ("c01_s1_ids", "c02_target_ids", "c03_no_cross_source", "c04_no_duplicates", "c05_order", "c06_metrics", "c07_no_test_leakage", "c08_no_enrichment", "c09_version", "c10_settings")
 
 
-@query(_pair_sql() + "SELECT count(*) AS pairs, count(*) AS unique_pairs, 0 AS bad_s1_ids, 0 AS bad_target_ids, 0 AS cross_source, 0 AS leaks, 0 AS inversions, " + ", ".join(f"'PASS' AS {c}" for c in _BLOCK) + ", 'WARN' AS c11_commit, 'PASS' AS c12_strategy, 'PASS' AS status FROM pairs")
+@query(_pair_sql() + "SELECT count(*) AS pairs, count(*) AS unique_pairs, 0::BIGINT AS bad_s1_ids, 0::BIGINT AS bad_target_ids, 0::BIGINT AS cross_source, 0::BIGINT AS leaks, 0::BIGINT AS inversions, " + ", ".join(f"'PASS' AS {c}" for c in _BLOCK) + ", 'WARN' AS c11_commit, 'PASS' AS c12_strategy, 'PASS' AS status FROM pairs")
 def blocking_checks(spark, sf_dir):
     s1, s2, s3 = adapters.sources(spark, sf_dir)
     found = blocking.candidates(s1, s2, s3, SETTINGS)
@@ -442,7 +442,7 @@ def feature_summary(spark, sf_dir):
     return features.summary(_features(spark, sf_dir)).withColumn("mean", F.round("mean", 9))
 
 
-@query(_pair_sql() + "SELECT count(*) AS row_count, 0 AS missing_s1, 0 AS missing_targets, 0 AS odd_rows, 'PASS' AS c1_schema, 'PASS' AS c2_dimension, 'PASS' AS c3_finite, 'PASS' AS c4_no_labels, 'PASS' AS c5_rows, 'WARN' AS c6_commit, 'PASS' AS status FROM pairs")
+@query(_pair_sql() + "SELECT count(*) AS row_count, 0::BIGINT AS missing_s1, 0::BIGINT AS missing_targets, 0::BIGINT AS odd_rows, 'PASS' AS c1_schema, 'PASS' AS c2_dimension, 'PASS' AS c3_finite, 'PASS' AS c4_no_labels, 'PASS' AS c5_rows, 'WARN' AS c6_commit, 'PASS' AS status FROM pairs")
 def feature_checks(spark, sf_dir):
     return features.checks(_features(spark, sf_dir), candidate=True)
 
