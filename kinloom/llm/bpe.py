@@ -19,7 +19,7 @@ import numpy as np
 import regex
 from pyspark.sql import DataFrame
 
-from .common import documents, map_chunks
+from .common import documents, held, map_chunks
 
 #: Bits of a word of the lower bitmap level.
 WORD = 8
@@ -30,9 +30,10 @@ REMEMBERED = 700_000
 class Remembering(dict):
     """``make(key)`` of the keys that came lately. A full generation becomes the old one, from which keys in use come back."""
 
-    def __init__(self):
+    def __init__(self, most: int = REMEMBERED):
         super().__init__()
         self.old: dict = {}
+        self.most = most
 
     def make(self, key: str):
         raise NotImplementedError
@@ -41,7 +42,7 @@ class Remembering(dict):
         out = self.old.pop(key, None)
         if out is None:
             out = self.make(key)
-        if len(self) >= REMEMBERED:
+        if len(self) >= self.most:
             self.old = dict(self)
             self.clear()
         if len(key) <= 64:
@@ -186,14 +187,9 @@ class Encoder(Remembering):
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
-_encoders: dict[tuple, Encoder] = {}
-
-
 def encoder(path: str, pattern: str) -> Encoder:
     """One for each worker process, kept from task to task."""
-    if (path, pattern) not in _encoders:
-        _encoders[path, pattern] = Encoder(path, pattern)
-    return _encoders[path, pattern]
+    return held(f"encoder {path} {pattern}", lambda: Encoder(path, pattern))
 
 
 def encode_documents(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", project: Callable | None = None, ddl: str = "n_tokens long, ids array<int>") -> DataFrame:

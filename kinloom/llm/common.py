@@ -10,6 +10,7 @@ Conventions that hold for every operator here, unless its own docstring says oth
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -22,6 +23,8 @@ from pyspark.sql.types import StructType, _parse_datatype_string
 
 #: Documents that a worker handles at once; bounds what Python holds beside the Arrow batch.
 CHUNK = 512
+#: Rows of an Arrow batch while the session has Spark's default; texts are long.
+BATCH_ROWS, DEFAULT_ROWS = "2000", "10000"
 
 
 def schema_of(spark: SparkSession, ddl: str) -> StructType:
@@ -37,6 +40,43 @@ def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return df.select(df[id_col].cast("long").alias("doc_id"), F.coalesce(df[text_col].cast("string"), F.lit("")).alias("text"))
 
 
+_held: dict[str, object] = {}
+
+
+def held(name: str, make: Callable[[], object]):
+    """What a worker process keeps from task to task: one operator's tables and caches at a time, so that operators don't add up."""
+    if name not in _held:
+        _held.clear()
+        _held[name] = make()
+    return _held[name]
+
+
+def release() -> None:
+    """Gives memory that a task no longer needs back to the system; idle workers would keep it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Fewer rows in an Arrow batch than by default, unless the session has a value of its own."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == DEFAULT_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: StructType) -> DataFrame:
+    """``mapInArrow`` in small batches, with memory released after each task."""
+    small_batches(df.sparkSession)
+
+    def run_and_release(batches):
+        yield from run(batches)
+        release()
+
+    return df.mapInArrow(run_and_release, schema)
+
+
 def map_chunks(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], list]], ddl: str, chunk: int = CHUNK) -> DataFrame:
     """Runs ``make()`` once in each task; what it returns turns a batch of at most ``chunk`` rows into a list of columns."""
     schema = schema_of(df.sparkSession, ddl)
@@ -50,7 +90,7 @@ def map_chunks(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], list
                 columns = one(batch.slice(at, chunk))
                 yield pa.RecordBatch.from_arrays([c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
 
-    return df.mapInArrow(run, schema)
+    return map_batches(df, run, schema)
 
 
 def shared_folder(spark: SparkSession) -> str:

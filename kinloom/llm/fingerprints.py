@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType
 
-from .common import documents, map_chunks
+from .common import documents, held, map_batches, map_chunks
 
 #: Words that a worker remembers the hash of; a bound on memory alone.
 REMEMBERED = 500_000
@@ -32,7 +32,8 @@ class WordHashes(dict):
         return h
 
 
-_hashes = WordHashes()
+def word_hashes() -> WordHashes:
+    return held("word hashes", WordHashes)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -48,7 +49,7 @@ def shingle_hashes(text: str, width: int = 5) -> np.ndarray:
     n = len(words)
     if not n:
         return np.empty(0, np.uint64)
-    h = np.fromiter(map(_hashes.__getitem__, words), np.uint64, n)
+    h = np.fromiter(map(word_hashes().__getitem__, words), np.uint64, n)
     width = min(width, n)
     out = h[: n - width + 1].copy()
     for i in range(1, width):
@@ -199,4 +200,4 @@ def fingerprint_edited(df: DataFrame, k: int = 256, width: int = 5, id_col: str
         if rows:
             yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in rows], arrow)
 
-    return with_next(documents(df, id_col, text_col), parts).mapInArrow(run, schema)
+    return map_batches(with_next(documents(df, id_col, text_col), parts), run, schema)

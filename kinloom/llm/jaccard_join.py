@@ -25,7 +25,7 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import BooleanType
 
-from .common import documents, map_chunks, schema_of, written
+from .common import documents, map_batches, map_chunks, schema_of, written
 from .fingerprints import mixed, shingle_hashes
 
 SIMILARITY, WIDTH, DEPTH, DEEPER, SPLITS, ROUNDS, BLOCK, RECALL = 0.8, 5, 3, 2, 6, 4, 2048, 0.999
@@ -272,7 +272,7 @@ def join_classes(docs: DataFrame, table: DataFrame, width: int, similarity: floa
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], schema=arrow)
 
     order = ("path", "i", "j", "class")
-    return rows.select("path", "i", "j", "block", "class", "tokens", "paths").repartition(parts, "path", "i", "j").sortWithinPartitions(*order).mapInArrow(run, schema)
+    return map_batches(rows.select("path", "i", "j", "block", "class", "tokens", "paths").repartition(parts, "path", "i", "j").sortWithinPartitions(*order), run, schema)
 
 
 def components(edges: DataFrame) -> DataFrame:

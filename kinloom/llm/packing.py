@@ -17,20 +17,35 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import REMEMBERED, byte_letters, read_vocabulary
-from .common import documents, map_chunks, written
+from .bpe import Remembering, byte_letters, read_vocabulary
+from .common import documents, held, map_chunks, written
 
 #: Fixed value: how word vocabularies with word ends split lower-cased text.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
+#: Words, and pre-tokens inside words, in each generation that a worker remembers; a bound on memory alone.
+WORDS, PIECES = 500_000, 250_000
 #: Characters on which this module leaves normalising and splitting to the library.
 UNUSUAL = re.compile("[^\t\n\r -~¡-įı-ɏ]")
 
 
-class WordEncoder(dict):
-    """Lower-case word, as white space bounds it -> packed ids; filled as words come. Pre-tokens inside words are remembered too."""
+class Pieces(Remembering):
+    """Pre-token -> packed ids, merged by the library's model."""
+
+    def __init__(self, model, kind: np.dtype):
+        super().__init__(PIECES)
+        self.model, self.kind = model, kind
+        self.letters = {b: c for b, c in byte_letters().items() if chr(b) != c}
+
+    def make(self, piece: str) -> bytes:
+        raw = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+        return np.array([t.id for t in self.model.tokenize(raw)], self.kind).tobytes()
+
+
+class WordEncoder(Remembering):
+    """Lower-case word, as white space bounds it -> packed ids; filled as words come."""
 
     def __init__(self, path: str):
-        super().__init__()
+        super().__init__(WORDS)
         from tokenizers import Tokenizer
 
         spec = read_vocabulary(path)
@@ -38,25 +53,10 @@ class WordEncoder(dict):
         self.marks = [t["content"] for t in spec["added_tokens"]]
         size = 1 + max(*spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"]))
         self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
-        self.find, self.pieces = regex.compile(SPLIT).findall, {}
-        self.letters = {b: c for b, c in byte_letters().items() if chr(b) != c}
+        self.find, self.pieces = regex.compile(SPLIT).findall, Pieces(self.library.model, self.kind)
 
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        out = b"".join([self.pieces.get(p) or self.merged(p) for p in self.find(word)])
-        if len(word) <= 64:
-            self[word] = out
-        return out
-
-    def merged(self, piece: str) -> bytes:
-        if len(self.pieces) >= REMEMBERED:
-            self.pieces.clear()
-        raw = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
-        out = np.array([t.id for t in self.library.model.tokenize(raw)], self.kind).tobytes()
-        if len(piece) <= 64:
-            self.pieces[piece] = out
-        return out
+    def make(self, word: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, self.find(word)))
 
     def encode(self, text: str) -> bytes:
         if (text.isascii() and text.isprintable() or not UNUSUAL.search(text)) and not any(m in text for m in self.marks):
@@ -64,13 +64,9 @@ class WordEncoder(dict):
         return np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
 
-_encoders: dict[str, WordEncoder] = {}
-
-
 def word_encoder(path: str) -> WordEncoder:
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+    """One for each worker process, kept from task to task."""
+    return held(f"word encoder {path}", lambda: WordEncoder(path))
 
 
 def encode_parts(df: DataFrame, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import StringType
 
-from .common import documents, map_chunks
+from .common import documents, map_chunks, small_batches
 
 #: What is looked for. The order of kinds decides among spans with the same start.
 KINDS = ("assign", "access", "hex", "github", "npm")
@@ -119,4 +119,5 @@ def redact(df: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> Dat
         hits = automaton()
         return pd.Series([None if t is None else cover(t, scan(t, hits), mark) for t in texts], dtype=object)
 
+    small_batches(df.sparkSession)
     return df.withColumn(text_col, covered(F.col(text_col)))

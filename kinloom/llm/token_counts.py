@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
 from .bpe import Remembering, byte_letters, read_vocabulary
-from .common import documents, map_chunks
+from .common import documents, held, map_chunks
 
 #: Fixed value: how byte-level vocabularies split text before merging.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -72,13 +72,9 @@ def _back() -> dict[str, int]:
     return {c: b for b, c in byte_letters().items()}
 
 
-_counters: dict[str, Counter] = {}
-
-
 def counter(path: str) -> Counter:
-    if path not in _counters:
-        _counters[path] = Counter(path)
-    return _counters[path]
+    """One for each worker process, kept from task to task."""
+    return held(f"counter {path}", lambda: Counter(path))
 
 
 def count_tokens(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = 1024) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
-from .common import documents, map_chunks, pick
+from .common import documents, map_chunks, pick, small_batches
 
 #: Look-alikes of Latin letters, digits and signs that stand for letters.
 HOMOGLYPHS = dict(zip("аеорсухіјѕһӏԁԛԝαορνκιτυ", "aeopcyxijshldqwaopvkitu"))
@@ -177,4 +177,5 @@ def reject(df: DataFrame, lexicon: Lexicon, text_col: str = "text", at: float =
         hits = lexicon.automaton()
         return pd.Series([lexicon.curve(w, n) for w, _, n in (weigh(t or "", hits) for t in texts)], dtype=float)
 
+    small_batches(df.sparkSession)
     return df.where(scores(F.col(text_col)) < at)
