@@ -16,14 +16,11 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import BooleanType
 
 from .common import documents, map_batches, map_chunks, schema_of, written
 from .fingerprints import mixed, shingle_hashes
@@ -80,37 +77,41 @@ def roots(runs: int) -> np.ndarray:
     return mixed(np.arange(1, runs + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
 
 
+def _strips(n: int) -> list[slice]:
+    return [slice(at, min(n, at + 128)) for at in range(0, n, 128)]
+
+
 def _similar(sets: list[np.ndarray], asked: np.ndarray, similarity: float) -> np.ndarray:
     """Which of the pairs asked for are similar, by exact counting: one by one, or if they are many in a matrix of the shingles that any two sets share."""
     n = len(sets)
-    sizes = np.array([len(s) for s in sets], np.float32)  # whole numbers below 2**24 are exact
-    asked = np.triu(asked, 1) & (np.minimum.outer(sizes, sizes) >= np.float32(similarity * 0.999) * np.maximum.outer(sizes, sizes))
-    out = np.zeros((n, n), bool)
-    a, b = np.nonzero(asked)
-    if not len(a):
+    sizes = np.array([len(s) for s in sets], np.float64)
+    near = lambda shared, rows: shared >= similarity * (sizes[rows, None] + sizes[None] - shared) - 1e-9
+    for rows in _strips(n):
+        asked[rows] &= near(np.minimum(sizes[rows, None], sizes[None]), rows)  # the smaller set may lie within the larger
+    out, pairs = np.zeros((n, n), bool), int(np.triu(asked, 1).sum())
+    if not pairs:
         return out
-    wide = 0
-    if len(a) > 8:
-        found, where, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-        wide = int((times > 1).sum())
-    if len(a) <= 8 or len(a) * ALONE <= float(n) * n * wide / 4:
-        for i, j in zip(a.tolist(), b.tolist()):
+    found, where, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    wide = int((times > 1).sum())
+    if pairs <= 8 or pairs * ALONE <= float(n) * n * wide / 4:
+        for i, j in np.argwhere(np.triu(asked, 1)).tolist():
             shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-            out[i, j] = shared >= similarity * (float(sizes[i] + sizes[j]) - shared) - 1e-9
-    else:
-        owner, kept = np.repeat(np.arange(n), sizes.astype(int)), times[where] > 1
-        column, owner = (np.cumsum(times > 1) - 1)[where[kept]], owner[kept]
-        order = np.argsort(column, kind="stable")
-        column, owner = column[order], owner[order]
-        both = np.zeros((n, n), np.float32)
-        for at in range(0, wide, 4096):
-            x, y = np.searchsorted(column, [at, at + 4096])
-            m = np.zeros((n, min(4096, wide - at)), np.float32)
-            m[owner[x:y], column[x:y] - at] = 1
-            both += m @ m.T
-        shared, whole = both[a, b].astype(np.float64), (sizes[a] + sizes[b]).astype(np.float64)
-        out[a, b] = shared >= similarity * (whole - shared) - 1e-9
-    return out | out.T
+            out[i, j] = out[j, i] = shared >= similarity * (sizes[i] + sizes[j] - shared) - 1e-9
+        return out
+    owner, kept = np.repeat(np.arange(n), sizes.astype(int)), times[where] > 1
+    column, owner = (np.cumsum(times > 1) - 1)[where[kept]], owner[kept]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    both = np.zeros((n, n), np.float32)  # counts below 2**24 are exact
+    for at in range(0, wide, 2048):
+        x, y = np.searchsorted(column, [at, at + 2048])
+        m = np.zeros((n, min(2048, wide - at)), np.float32)
+        m[owner[x:y], column[x:y] - at] = 1
+        for rows in _strips(n):
+            both[rows] += m[rows] @ m.T
+    for rows in _strips(n):
+        out[rows] = asked[rows] & near(both[rows].astype(np.float64), rows)
+    return out
 
 
 def _elsewhere(paths: list[np.ndarray], here: int) -> np.ndarray:
@@ -124,11 +125,12 @@ def _elsewhere(paths: list[np.ndarray], here: int) -> np.ndarray:
     order = np.argsort(column, kind="stable")
     column, owner = column[order], owner[order]
     out = np.zeros((n, n), bool)
-    for at in range(0, int((times > 1).sum()), 4096):
-        x, y = np.searchsorted(column, [at, at + 4096])
+    for at in range(0, int((times > 1).sum()), 2048):
+        x, y = np.searchsorted(column, [at, at + 2048])
         m = np.zeros((n, int(column[y - 1]) - at + 1), np.float32)
         m[owner[x:y], column[x:y] - at] = 1
-        out |= (m @ m.T) > 0
+        for rows in _strips(n):
+            out[rows] |= (m[rows] @ m.T) > 0
     return out
 
 
@@ -139,12 +141,15 @@ def compare(path: int, i: int, j: int, blocks: np.ndarray, classes: np.ndarray,
     asked = ~_elsewhere(paths, path)
     if i != j:
         asked &= blocks[:, None] != blocks[None]
+    np.fill_diagonal(asked, False)
     near = _similar(sets, asked, similarity)
     if not near.any():
         return []
     label = classes.copy()
     while True:
-        new = np.minimum(label, np.where(near, label[None], np.iinfo(np.int64).max).min(1))
+        new = label.copy()
+        for rows in _strips(len(label)):
+            new[rows] = np.minimum(label[rows], np.where(near[rows], label[None], np.iinfo(np.int64).max).min(1))
         if (new == label).all():
             break
         label = new
@@ -181,21 +186,14 @@ def _met(reached: DataFrame) -> DataFrame:
     return by_path.groupBy("members", "a", "b").agg(F.min("path").alias("path")).select("path", "members")
 
 
-def marked(ids: DataFrame):
-    """A test that passes every id of ``ids``, every null and few others: a bitmap of fixed size. Ids by the billion fill it, and then it spares nothing."""
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(64 * BITMAP))
-    words = ids.where("doc_id is not null").groupBy((place / 64).cast("long").alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(xxhash64(doc_id), {64 * BITMAP}) % 64 as int))")).alias("bits")).collect()
+def marked(ids: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size in which every id of ``ids`` is marked. Ids by the billion fill it, and then it spares nothing."""
+    place = f"pmod(xxhash64(doc_id), {64 * BITMAP})"
+    words = ids.where("doc_id is not null").groupBy(F.expr(f"{place} div 64").alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast({place} % 64 as int))")).alias("bits")).collect()
     bitmap = np.zeros(BITMAP, np.int64)
     for r in words:
         bitmap[r.word] = r.bits
-    shared = ids.sparkSession.sparkContext.broadcast(bitmap)
-
-    @pandas_udf(BooleanType())
-    def test(at: pd.Series) -> pd.Series:
-        bits, x = shared.value.view(np.uint64), at.to_numpy(np.int64)
-        return pd.Series((bits[x >> 6] >> (x & 63).astype(np.uint64)) & np.uint64(1) == 1)
-
-    return lambda column: F.col(column).isNull() | test(F.pmod(F.xxhash64(column), F.lit(64 * BITMAP)))
+    return bitmap
 
 
 def join_classes(docs: DataFrame, table: DataFrame, width: int, similarity: float) -> DataFrame:
@@ -206,16 +204,22 @@ def join_classes(docs: DataFrame, table: DataFrame, width: int, similarity: floa
     met = written(_met(reached), "paths-met")
     members = written(reached.join(met, "path"), "path-members")
 
+    meeting = written(members.select("class").distinct().join(table.groupBy("class").agg(F.min("doc_id").alias("doc_id")), "class"), "classes-met")
+    shared = spark.sparkContext.broadcast(marked(meeting))
+
     def sets():
+        bits = shared.value.view(np.uint64)
+
         def one(batch):
-            found = [shingle_set(t, width) for t in batch.column(1).to_pylist()]
+            at = batch.column(0).to_numpy(zero_copy_only=False)
+            wanted = np.flatnonzero((at < 0) | ((bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1))
+            found = [shingle_set(t, width) for t in batch.column(1).take(pa.array(wanted)).to_pylist()]
             return [[class_of(s) for s in found], [s.tobytes() for s in found]]
 
         return one
 
-    meeting = written(members.select("class").distinct().join(table.groupBy("class").agg(F.min("doc_id").alias("doc_id")), "class"), "classes-met")
-    wanted = marked(meeting)
-    whole = map_chunks(docs.where(wanted("doc_id")), sets, "class long, tokens binary").join(meeting.select("class"), "class")
+    placed = docs.select(F.coalesce(F.when(F.col("doc_id").isNotNull(), F.pmod(F.xxhash64("doc_id"), F.lit(64 * BITMAP))), F.lit(-1)).alias("place"), "text")
+    whole = map_chunks(placed, sets, "class long, tokens binary").join(meeting.select("class"), "class")
     whole = written(whole.groupBy("class").agg(F.first("tokens").alias("tokens")), "class-sets")
 
     for _ in range(ROUNDS):
