@@ -95,7 +95,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, size: int, a
     return docs.join(F.broadcast(chosen), "doc_id")
 
 
-def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", size: int = 10_000, least_g: float = 30.0, least_ratio: float = 10.0, most_entries: int = 4_000) -> Lexicon:
+def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", size: int = 10_000, least_g: float = 20.0, least_ratio: float = 8.0, most_entries: int = 4_000) -> Lexicon:
     """A lexicon from at most ``size`` labelled rows outside the held-out fold.
 
     A beginning of words becomes an entry if the share of toxic documents that have it is
