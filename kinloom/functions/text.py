@@ -87,11 +87,17 @@ def alnum(normal: Column) -> Column:
     return squeeze(F.regexp_replace(normal, r"[^\p{L}\p{N}\p{M}]", " "))
 
 
-def name_core(normal: Column) -> Column:
-    """A name without the legal forms it ends with, unless nothing else is in it."""
+def without_forms(normal: Column) -> Column:
+    """A name without the legal forms it ends with; empty if nothing else is in it."""
     forms = "|".join(LEGAL_FORMS)
-    cut = F.regexp_replace(F.regexp_replace(normal, rf"[ \-]+(?:{forms})(?:[ \-]+(?:{forms}))*$", ""), r"^[ \-]+|[ \-]+$", "")
-    return F.when((cut == "") | (cut == normal), normal).otherwise(cut)
+    cut = F.regexp_replace(normal, rf"[ \-]+(?:{forms})(?:[ \-]+(?:{forms}))*$", "")
+    return F.regexp_replace(cut, r"^[ \-]+|[ \-]+$", "")
+
+
+def name_core(normal: Column, cut: Column | None = None) -> Column:
+    """A name without the legal forms it ends with, unless nothing else is in it. ``cut`` is ``without_forms`` of it, if that is a column already."""
+    cut = without_forms(normal) if cut is None else cut
+    return F.when(cut == "", normal).otherwise(cut)
 
 
 def normal_country(cleaned: Column) -> Column:
@@ -139,18 +145,3 @@ def target_source(c: Column, mode: str = "strict") -> Column:
     if mode == "underscore":
         return F.when(low.startswith("s2_"), "Source 2").when(low.startswith("s3_"), "Source 3").otherwise("Unknown")
     raise ValueError(f"unknown mode: {mode}")
-
-
-def normal_columns(name: Column, address: Column, country: Column, compose: bool = True) -> dict[str, Column]:
-    """The six derived columns of a record, by name."""
-    n, a = normal_name(clean(name, compose)), normal_address(clean(address, compose))
-    # of the normal form, the core and the alphanumeric form are derived, so it is normalised once more there
-    again = normal_name(clean(n, False))
-    return {
-        "business_name_normalized": n,
-        "business_name_core": name_core(n),
-        "business_name_alnum": alnum(again),
-        "business_address_normalized": a,
-        "business_address_alnum": alnum(normal_address(clean(a, False))),
-        "country_normalized": normal_country(clean(country, compose)),
-    }

@@ -10,42 +10,42 @@ from ..sources.tables import DERIVED_COLUMNS, NORMAL_COLUMNS, RECORD_COLUMNS, ch
 
 
 def normalize(records: DataFrame, compose: bool = True) -> DataFrame:
-    """Ten columns: the four of a record and six derived ones. A missing column is an error; others are dropped."""
+    """Ten columns: the four of a record and six derived ones. A missing column is an error; others are dropped.
+
+    Each step is a projection of its own, so that what several columns derive from is computed once.
+    """
     missing, _ = check_columns(records, RECORD_COLUMNS)
     if missing:
         raise ValueError(f"missing columns: {missing}")
     raw = records.select(*[text.filled(F.col(c)).alias(c) for c in RECORD_COLUMNS])
-    new = text.normal_columns(F.col("business_name"), F.col("business_address"), F.col("country"), compose)
-    return raw.withColumns(new).select(*NORMAL_COLUMNS)
+    cleaned = raw.withColumns({"n0": text.clean(F.col("business_name"), compose), "a0": text.clean(F.col("business_address"), compose), "c0": text.clean(F.col("country"), compose)})
+    normal = cleaned.withColumns({"business_name_normalized": text.normal_name(F.col("n0")), "business_address_normalized": text.normal_address(F.col("a0")), "country_normalized": text.normal_country(F.col("c0"))})
+    # the alphanumeric forms are those of the normal form, which is cleaned and normalised once more for them
+    again = normal.withColumns({"n1": text.clean(F.col("business_name_normalized"), False), "a1": text.clean(F.col("business_address_normalized"), False), "cut": text.without_forms(F.col("business_name_normalized"))})
+    out = again.withColumns({
+        "business_name_core": text.name_core(F.col("business_name_normalized"), F.col("cut")),
+        "business_name_alnum": text.alnum(text.normal_name(F.col("n1"))), "business_address_alnum": text.alnum(text.normal_address(F.col("a1"))),
+    })
+    return out.select(*NORMAL_COLUMNS)
 
 
 def fields(records: DataFrame) -> DataFrame:
     """entity_id, name, address, country for blocking: a stored derived column where it isn't blank, else derived from the raw one.
 
     ``name`` is the core, and the alphanumeric name where that is empty. A core that isn't stored is
-    derived from the alphanumeric name.
+    derived from the alphanumeric name. Rows without an id are left out.
     """
     has = set(records.columns)
-    raw = {c: text.filled(F.col(c)) if c in has else F.lit("") for c in RECORD_COLUMNS}
-    alnum_name = text.alnum(text.normal_name(text.clean(raw["business_name"])))
-    made = {
-        "business_name_core": text.name_core(alnum_name),
-        "business_name_alnum": alnum_name,
-        "business_address_alnum": text.alnum(text.normal_address(text.clean(raw["business_address"]))),
-        "country_normalized": text.normal_country(text.clean(raw["country"])),
-    }
-
-    def field(c):
-        if c not in has:
-            return made[c]
-        return F.when(~text.is_blank(F.col(c)), text.strip(text.filled(F.col(c)))).otherwise(made[c] if _raw_of(c) in has else F.lit(""))
-
-    name = F.coalesce(F.nullif(field("business_name_core"), F.lit("")), field("business_name_alnum"))
-    return records.select(text.strip(raw["entity_id"]).alias("entity_id"), name.alias("name"), field("business_address_alnum").alias("address"), field("country_normalized").alias("country")).where("entity_id <> ''")
-
-
-def _raw_of(column: str) -> str:
-    return "business_name" if "name" in column else "business_address" if "address" in column else "country"
+    raw = lambda c: text.filled(F.col(c)) if c in has else F.lit("")
+    stored = lambda c: F.when(~text.is_blank(F.col(c)), text.strip(text.filled(F.col(c)))) if c in has else F.lit(None).cast("string")
+    rows = records.select(
+        text.strip(raw("entity_id")).alias("entity_id"), *[stored(c).alias(k) for k, c in (("core", "business_name_core"), ("alnum", "business_name_alnum"), ("aa", "business_address_alnum"), ("cc", "country_normalized"))],
+        text.clean(raw("business_name")).alias("n0"), text.clean(raw("business_address")).alias("a0"), text.clean(raw("country")).alias("c0"),
+    ).where("entity_id <> ''")
+    made = rows.withColumns({"an": text.alnum(text.normal_name(F.col("n0"))), "address": F.coalesce("aa", text.alnum(text.normal_address(F.col("a0")))), "country": F.coalesce("cc", text.normal_country(F.col("c0")))})
+    cut = made.withColumn("cut", text.without_forms(F.col("an")))
+    named = cut.withColumn("derived", text.name_core(F.col("an"), F.col("cut")))
+    return named.select("entity_id", F.coalesce("core", F.when(F.col("derived") != "", F.col("derived")), F.coalesce("alnum", "an")).alias("name"), "address", "country")
 
 
 def summary(before: DataFrame, after: DataFrame) -> DataFrame:
