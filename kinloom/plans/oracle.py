@@ -88,7 +88,7 @@ cleaned AS MATERIALIZED (SELECT *, {clean('business_name')} AS n0, {clean('busin
 named AS MATERIALIZED (SELECT *, {name('n0')} AS n, {address('a0')} AS a, {country('c0')} AS c FROM cleaned),
 normal AS MATERIALIZED (SELECT *, {core('n')} AS core, {alnum(name(clean('n')))} AS an, {alnum(address(clean('a')))} AS aa FROM named)"""
 TRUTH = """,
-lists AS (SELECT text, string_agg(entity_id, ',' ORDER BY entity_id) AS ids FROM records WHERE source > 1 GROUP BY text),
+lists AS (SELECT text, concat_ws(',', min(CASE WHEN source = 2 THEN entity_id END), min(CASE WHEN source = 3 THEN entity_id END)) AS ids FROM records WHERE source > 1 GROUP BY text),
 truth AS MATERIALIZED (SELECT r.entity_id AS source1_entity_id, coalesce(l.ids, '') AS matched_entity_ids FROM records r LEFT JOIN lists l USING (text) WHERE r.source = 1),
 edges AS MATERIALIZED (SELECT DISTINCT source1_entity_id AS s1, t, CASE WHEN t LIKE 's2%' THEN 'Source 2' ELSE 'Source 3' END AS target_source
   FROM (SELECT source1_entity_id, unnest(string_split(matched_entity_ids, ',')) AS t FROM truth WHERE matched_entity_ids <> ''))"""
