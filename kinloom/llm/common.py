@@ -104,12 +104,23 @@ def shared_folder(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
-def written(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """``df`` as a table in the shared folder, read back: lineage ends there, and a lost executor costs no recomputation."""
+#: Rows of narrow tables that go into one file; tables of a few rows need no file for each partition.
+FILE_ROWS = 200_000
+
+
+def written(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """``df`` as a table in the shared folder, read back: lineage ends there, and a lost executor costs no recomputation.
+
+    ``rows`` is about how many narrow rows it has, where that is known: they are then put together in
+    fewer files, in proportion to them.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    schema = df.schema
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // FILE_ROWS)))
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

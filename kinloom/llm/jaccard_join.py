@@ -22,11 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import documents, map_batches, map_chunks, schema_of, written
+from .common import FILE_ROWS, documents, map_batches, map_chunks, schema_of, written
 from .fingerprints import mixed, shingle_hashes
 
 SIMILARITY, WIDTH, DEPTH, DEEPER, SPLITS, ROUNDS, BLOCK, RECALL = 0.8, 5, 3, 2, 6, 4, 2048, 0.999
 EMPTY = 0
+#: Documents in a file of the filtered table, about 15 MB.
+FILE_DOCUMENTS = 4000
 #: 64-bit words of the bitmap of ids whose texts are wanted; it spares work and decides nothing.
 BITMAP = 1 << 18
 #: Comparing two sets alone costs as much as so many cells of a matrix product.
@@ -200,11 +202,12 @@ def join_classes(docs: DataFrame, table: DataFrame, width: int, similarity: floa
     """class, links, root (a lower or equal class in the same component), once for each path and class."""
     spark = docs.sparkSession
     ones = table.where("size > 0").groupBy("class").agg(F.first("paths").alias("paths"))
-    reached = written(ones.select("class", F.explode("paths").alias("path")), "paths")
-    met = written(_met(reached), "paths-met")
-    members = written(reached.join(met, "path"), "path-members")
+    n = ones.count()
+    reached = written(ones.select("class", F.explode("paths").alias("path")), "paths", 30 * n)
+    met = _met(reached)
+    members = written(reached.join(met, "path"), "path-members", 2 * n)
 
-    meeting = written(members.select("class").distinct().join(table.groupBy("class").agg(F.min("doc_id").alias("doc_id")), "class"), "classes-met")
+    meeting = written(members.select("class").distinct().join(table.groupBy("class").agg(F.min("doc_id").alias("doc_id")), "class"), "classes-met", n)
     shared = spark.sparkContext.broadcast(marked(meeting))
 
     def sets():
@@ -240,13 +243,13 @@ def join_classes(docs: DataFrame, table: DataFrame, width: int, similarity: floa
 
         # a pair at a node goes on together once on average only, so a full node is entered as often as makes up for it
         again = full.select("class", "path", F.explode(F.sequence(F.lit(1), F.lit(SPLITS))).alias("turn")).select("class", F.xxhash64("path", "turn").alias("path"))
-        below = written(map_chunks(again.join(whole, "class").select("class", "path", "tokens"), split, "class long, path long"), "paths-below")
-        met_below = written(_met(below), "paths-met-below")
-        stays = full.agg(F.count(F.lit(1)).alias("n")).first().n
+        stays = full.count()
+        below = written(map_chunks(again.join(whole, "class").select("class", "path", "tokens"), split, "class long, path long"), "paths-below", 10 * stays)
+        met_below = written(_met(below), "paths-met-below", stays)
         deeper = below.join(met_below, "path").select("path", "class", "members")
         if deeper.where(F.col("members") > BLOCK).agg(F.count(F.lit(1)).alias("n")).first().n >= stays:
             break  # what is full is full of similar sets: splitting it further only repeats it
-        members = written(members.where(F.col("members") <= BLOCK).select("path", "class", "members").unionByName(deeper), "path-members")
+        members = written(members.where(F.col("members") <= BLOCK).select("path", "class", "members").unionByName(deeper), "path-members", 2 * n)
 
     at = members.withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("class", F.lit(7)), F.col("blocks")).cast("int"))
     dealt = at.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("path", "class", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
@@ -281,14 +284,15 @@ def join_classes(docs: DataFrame, table: DataFrame, width: int, similarity: floa
 
 def components(edges: DataFrame) -> DataFrame:
     """class, label: the least class of its component. Labels pass along edges and then jump, until none changes."""
-    both = written(edges.select(F.col("class").alias("a"), F.col("root").alias("b")).where("a <> b").unionByName(edges.select(F.col("root").alias("a"), F.col("class").alias("b")).where("a <> b")).distinct(), "edges")
-    labels = written(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("class"), F.least("a", "m").alias("label")), "labels")
+    n = 2 * edges.count()
+    both = written(edges.select(F.col("class").alias("a"), F.col("root").alias("b")).where("a <> b").unionByName(edges.select(F.col("root").alias("a"), F.col("class").alias("b")).where("a <> b")).distinct(), "edges", n)
+    labels = written(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("class"), F.least("a", "m").alias("label")), "labels", n)
     while True:
         least = both.join(labels.select(F.col("class").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("m"))
         passed = labels.join(least, labels["class"] == least["a"]).select("class", F.least("label", "m").alias("label"), F.col("label").alias("was"))
-        passed = written(passed, "labels-passed")
+        passed = written(passed, "labels-passed", n)
         jump = passed.select(F.col("class").alias("label"), F.col("label").alias("further"))
-        new = written(passed.join(jump, "label", "left").select("class", F.least("label", "further").alias("label"), "was"), "labels")
+        new = written(passed.join(jump, "label", "left").select("class", F.least("label", "further").alias("label"), "was"), "labels", n)
         if new.where("label <> was").isEmpty():
             return new.select("class", "label")
         labels = new.select("class", "label")
@@ -304,12 +308,13 @@ def similarity_join(df: DataFrame, similarity: float = SIMILARITY, width: int =
     """
     docs = documents(df, id_col, text_col)
     table = written(class_table(docs, runs_for(recall), width, similarity), "classes")
-    found = written(join_classes(docs, table, width, similarity), "links")
+    rows = table.count()
+    found = written(join_classes(docs, table, width, similarity).repartition(-(-max(1, rows) // FILE_ROWS)), "links")
     labels = components(found)
     links = found.groupBy("class").agg(F.sum("links").alias("links"))
     copies = table.groupBy("class").agg(F.min("doc_id").alias("copy_id"), F.count(F.lit(1)).alias("copies"))
     known = copies.join(links, "class", "left").join(labels, "class", "left").withColumn("label", F.coalesce("label", "class"))
-    known = written(known, "class-links")
+    known = written(known, "class-links", rows)
     named = known.groupBy("label").agg(F.min("copy_id").alias("class_id"))
     full = known.join(named, "label").select("class", "class_id", "copy_id", "copies", F.coalesce("links", F.lit(0)).alias("links"))
     return table.select("doc_id", "class", "size").join(full, "class").select("doc_id", "class_id", "copy_id", "copies", "links", F.col("size").alias("shingles"))
@@ -321,9 +326,10 @@ def one_of_each(df: DataFrame, similarity: float = SIMILARITY, width: int = WIDT
     Of rows that repeat an id and a text one stays; different texts under one id go or stay together
     by the least class of them. Rows with a null id can't be named, so they stay.
     """
-    spread = written(similarity_join(df, similarity, width, recall).where("doc_id is not null").select("doc_id", "class_id"), "near-copies")
+    rows = df.count()
+    spread = written(similarity_join(df, similarity, width, recall).where("doc_id is not null").select("doc_id", "class_id"), "near-copies", rows)
     by_id = spread.groupBy("doc_id").agg(F.min("class_id").alias("class_id"), F.count(F.lit(1)).alias("n"))
-    left = df.join(by_id.where("doc_id <> class_id").select("doc_id"), "doc_id", "left_anti").select(df.columns)
+    left = df.join(by_id.where("doc_id <> class_id").select("doc_id"), "doc_id", "left_anti").select(df.columns).coalesce(-(-max(1, rows) // FILE_DOCUMENTS))
     repeated = by_id.where("n > 1").select("doc_id")
     if repeated.isEmpty():
         return left
