@@ -25,7 +25,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from .common import FILE_ROWS, documents, map_batches, map_chunks, schema_of, written
 from .fingerprints import mixed, shingle_hashes
 
-SIMILARITY, WIDTH, DEPTH, DEEPER, SPLITS, ROUNDS, BLOCK, RECALL = 0.8, 5, 3, 2, 6, 4, 2048, 0.999
+SIMILARITY, WIDTH, DEPTH, DEEPER, SPLITS, ROUNDS, BLOCK, RECALL = 0.8, 5, 3, 2, 6, 4, 2048, 0.9999
 EMPTY = 0
 #: Documents in a file of the filtered table, about 15 MB.
 FILE_DOCUMENTS = 4000
@@ -203,7 +203,7 @@ def join_classes(docs: DataFrame, table: DataFrame, width: int, similarity: floa
     spark = docs.sparkSession
     ones = table.where("size > 0").groupBy("class").agg(F.first("paths").alias("paths"))
     n = ones.count()
-    reached = written(ones.select("class", F.explode("paths").alias("path")), "paths", 30 * n)
+    reached = written(ones.select("class", F.explode("paths").alias("path")), "paths", 40 * n)
     met = _met(reached)
     members = written(reached.join(met, "path"), "path-members", 2 * n)
 
