@@ -122,9 +122,10 @@ def keys(records: DataFrame, s: Blocking | None = None) -> DataFrame:
     return rows.select("entity_id", "country", F.explode(F.concat(*arrays)).alias("k")).select("entity_id", "country", "k.key", "k.bit")
 
 
-def targets(s2: DataFrame, s3: DataFrame) -> DataFrame:
-    """Records of both sources with ``target_source``."""
-    return s2.withColumn("target_source", F.lit("Source 2")).unionByName(s3.withColumn("target_source", F.lit("Source 3")))
+def targets(s2: DataFrame, s3: DataFrame, first: int | None = None) -> DataFrame:
+    """Records of both sources with ``target_source``; ``first`` keeps so many, source 2 before source 3, in order of id (a sampling operator)."""
+    both = s2.withColumn("target_source", F.lit("Source 2")).unionByName(s3.withColumn("target_source", F.lit("Source 3")))
+    return both.orderBy("target_source", "entity_id").limit(first) if first else both
 
 
 def target_keys(s2: DataFrame, s3: DataFrame, s: Blocking | None = None) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
+from . import normalize
 
 #: Targets of the same country that a record may draw hard negatives from, beside those that blocking finds.
 SAME_COUNTRY = 50
@@ -27,6 +28,12 @@ def rank_of(seed: int, *parts: Column) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), *parts)), 1, 15), 16, 10).cast("long")
 
 
+def pool(s2: DataFrame, s3: DataFrame, first: int | None = None) -> DataFrame:
+    """t and country of all targets; ``first`` keeps so many of each source, in order of id (a sampling operator)."""
+    part = lambda r: normalize.fields(r.orderBy("entity_id").limit(first) if first else r).select(F.col("entity_id").alias("t"), "country")
+    return part(s2).unionByName(part(s3))
+
+
 def positives(truth_edges: DataFrame) -> DataFrame:
     """The true pairs as training pairs."""
     return truth_edges.select(F.col("s1").alias("source1_entity_id"), F.col("t").alias("target_entity_id"), "target_source", F.lit(1).alias("label"), F.lit("positive").alias("pair_type"))

@@ -63,8 +63,7 @@ def training_pairs(spark: SparkSession, run: Run) -> dict:
     s1, s2, s3 = _sources(spark, run)
     edges = truth.edges(raw)
     fields = lambda r: normalize.fields(r)
-    pool = fields(s2).unionByName(fields(s3)).select(F.col("entity_id").alias("t"), "country")
-    made = pairs.positives(edges).unionByName(pairs.negatives(edges, pool, run.negatives, fields(s1)))
+    made = pairs.positives(edges).unionByName(pairs.negatives(edges, pairs.pool(s2, s3), run.negatives, fields(s1)))
     io.write_parquet(made, io.join_path(run.out, "training_pairs"))
     made = spark.read.parquet(io.join_path(run.out, "training_pairs"))
     tests = None
@@ -157,6 +156,6 @@ def build_features(spark: SparkSession, run: Run, rows: DataFrame, name: str, ca
     ids = [c for c in ("source1_entity_id", "target_entity_id", "target_source", "pair_type", "strategies") if c in made.columns]
     io.write_features(made, io.join_path(run.out, f"matrix_{name}"), features.feature_names(), ids)
     verdict = _row(features.checks(made, candidate, commit=run.commit))
-    report = {"checks": verdict, "status": verdict["status"], "summary": [r.asDict() for r in features.summary(made).collect()]}
+    report = {"checks": verdict, "status": verdict["status"], "schema": features.feature_schema(run.version), "summary": [r.asDict() for r in features.summary(made).collect()]}
     io.write_json(spark, io.join_path(run.out, f"feature_report_{name}.json"), report)
     return report
