@@ -27,6 +27,8 @@ from .fingerprints import mixed, shingle_hashes
 
 SIMILARITY, WIDTH, DEPTH, DEEPER, SPLITS, ROUNDS, BLOCK, RECALL = 0.8, 5, 3, 2, 6, 4, 2048, 0.9999
 EMPTY = 0
+#: Bins of a sketch, and the share of equal bins below which sets are not compared: of sets of similarity 0.8 one pair in some hundred millions.
+BINS, SKETCH_LEAST = 64, 0.5
 #: Documents in a file of the filtered table, about 15 MB.
 FILE_DOCUMENTS = 4000
 #: 64-bit words of the bitmap of ids whose texts are wanted; it spares work and decides nothing.
@@ -53,6 +55,14 @@ def class_of(tokens: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63) if len(tokens) else EMPTY
 
 
+def sketch_of(tokens: np.ndarray) -> bytes:
+    """One byte for each bin of the hash space: of the least shingle there, 0 if there is none."""
+    out = np.zeros(BINS, np.uint8)
+    bins, first = np.unique((tokens >> np.uint64(58)).astype(np.int64), return_index=True)
+    out[bins] = 1 + (tokens[first] % np.uint64(255)).astype(np.uint8)
+    return out.tobytes()
+
+
 def follow(tokens: np.ndarray, nodes: np.ndarray, depth: int, similarity: float = SIMILARITY) -> tuple[np.ndarray, np.ndarray]:
     """The nodes ``depth`` levels below ``nodes`` that the set comes to, and from which of them each comes."""
     origin = np.arange(len(nodes))
@@ -158,28 +168,61 @@ def compare(path: int, i: int, j: int, blocks: np.ndarray, classes: np.ndarray,
     return [(int(c), int(n), int(m)) for c, n, m in zip(classes, near.sum(1), label) if n]
 
 
+def promising(i: int, j: int, blocks: np.ndarray, sizes: np.ndarray, sketches: list[bytes], elsewhere: np.ndarray, similarity: float) -> np.ndarray:
+    """The members that have a partner of fitting size and sketch with whom they don't also meet elsewhere."""
+    n = len(sizes)
+    marks = np.frombuffer(b"".join(sketches), np.uint8).reshape(n, BINS)
+    out, sizes = np.zeros(n, bool), sizes.astype(np.float64)
+    for at in range(0, n, 32):
+        rows = slice(at, min(n, at + 32))
+        a, b = marks[rows, None, :], marks[None]
+        equal, either = ((a == b) & (a > 0)).sum(2), ((a > 0) | (b > 0)).sum(2)
+        fit = (equal >= SKETCH_LEAST * either) & (np.minimum(sizes[rows, None], sizes[None]) >= similarity * np.maximum(sizes[rows, None], sizes[None]) - 1e-9)
+        fit &= ~elsewhere[rows]
+        if i != j:
+            fit &= blocks[rows, None] != blocks[None]
+        fit[np.arange(rows.stop - at), np.arange(at, rows.stop)] = False
+        out[rows] |= fit.any(1)
+    return out
+
+
+def grouped(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, list[tuple]]]:
+    """Rows that are sorted by their first columns, group by group; a group may go on in the next batch."""
+    now, group = None, []
+    for batch in batches:
+        for row in zip(*(x.to_pylist() for x in batch.columns)):
+            if row[:keys] != now:
+                if group:
+                    yield now, group
+                now, group = row[:keys], []
+            group.append(row[keys:])
+    if group:
+        yield now, group
+
+
 def _signed(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint64).view(np.int64)
 
 
 def class_table(docs: DataFrame, runs: int, width: int, similarity: float) -> DataFrame:
-    """doc_id, class, size, paths for every row."""
+    """doc_id, class, size, sketch, paths for every row."""
 
     def make():
         start = roots(runs)
 
         def one(batch):
-            classes, sizes, paths = [], [], []
+            classes, sizes, sketches, paths = [], [], [], []
             for t in batch.column(1).to_pylist():
                 s = shingle_set(t, width)
                 classes.append(class_of(s))
                 sizes.append(len(s))
+                sketches.append(sketch_of(s))
                 paths.append(np.unique(_signed(follow(s, start, DEPTH, similarity)[0])))
-            return [batch.column(0), classes, sizes, paths]
+            return [batch.column(0), classes, sizes, sketches, paths]
 
         return one
 
-    return map_chunks(docs, make, "doc_id long, class long, size long, paths array<long>")
+    return map_chunks(docs, make, "doc_id long, class long, size long, sketch binary, paths array<long>")
 
 
 def _met(reached: DataFrame) -> DataFrame:
@@ -204,8 +247,8 @@ def join_classes(docs: DataFrame, table: DataFrame, width: int, similarity: floa
     ones = table.where("size > 0").groupBy("class").agg(F.first("paths").alias("paths"))
     n = ones.count()
     reached = written(ones.select("class", F.explode("paths").alias("path")), "paths", 40 * n)
-    met = _met(reached)
-    members = written(reached.join(met, "path"), "path-members", 2 * n)
+    met = written(_met(reached), "paths-met", n)
+    members = written(reached.join(met.hint("merge"), "path"), "path-members", 20 * n)  # alike at every size: paths are dealt by path either way
 
     meeting = written(members.select("class").distinct().join(table.groupBy("class").agg(F.min("doc_id").alias("doc_id")), "class"), "classes-met", n)
     shared = spark.sparkContext.broadcast(marked(meeting))
@@ -249,36 +292,47 @@ def join_classes(docs: DataFrame, table: DataFrame, width: int, similarity: floa
         deeper = below.join(met_below, "path").select("path", "class", "members")
         if deeper.where(F.col("members") > BLOCK).agg(F.count(F.lit(1)).alias("n")).first().n >= stays:
             break  # what is full is full of similar sets: splitting it further only repeats it
-        members = written(members.where(F.col("members") <= BLOCK).select("path", "class", "members").unionByName(deeper), "path-members", 2 * n)
+        members = written(members.where(F.col("members") <= BLOCK).select("path", "class", "members").unionByName(deeper), "path-members", 20 * n)
 
     at = members.withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("class", F.lit(7)), F.col("blocks")).cast("int"))
     dealt = at.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("path", "class", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    own = members.groupBy("class").agg(F.collect_list("path").alias("paths"))
-    rows = dealt.join(whole.join(own, "class"), "class")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = ("path", "i", "j", "class")
+
+    # first by sketches alone, so that sets travel only to where a link of theirs would be counted
+    about = table.where("size > 0").groupBy("class").agg(F.first("size").alias("size"), F.first("sketch").alias("sketch"))
+    own = members.groupBy("class").agg(F.sort_array(F.collect_set("path")).alias("paths"))
+    sketched = dealt.join(about.join(own, "class"), "class").select("path", "i", "j", "block", "class", "size", "sketch", "paths")
+    alive_schema = schema_of(spark, "path long, i int, j int, block int, class long")
+
+    def pick_alive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrow, out = to_arrow_schema(alive_schema), []
+        for (path, i, j), group in grouped(batches, 3):
+            if len(group) > 1:
+                keep = promising(i, j, np.array([g[0] for g in group]), np.array([g[2] for g in group]), [g[3] for g in group], _elsewhere([np.array(g[4], np.int64) for g in group], path), similarity)
+                out += [(path, i, j, g[0], g[1]) for g, k in zip(group, keep) if k]
+            if len(out) > 5000:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), arrow)], schema=arrow)
+                out = []
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), arrow)], schema=arrow)
+
+    alive = map_batches(sketched.repartition(parts, "path", "i", "j").sortWithinPartitions(*order), pick_alive, alive_schema)
+    alive = written(alive.repartition(-(-max(1, n) // FILE_ROWS)), "path-alive")
+    rows = alive.join(whole.join(own, "class"), "class")
     schema = schema_of(spark, "class long, links long, root long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        arrow, now, group, out = to_arrow_schema(schema), None, [], []
-
-        def done():
+        arrow, out = to_arrow_schema(schema), []
+        for (path, i, j), group in grouped(batches, 3):
             blocks, classes = np.array([g[0] for g in group]), np.array([g[1] for g in group], np.int64)
-            return compare(*now, blocks, classes, [np.frombuffer(g[2], np.uint64) for g in group], [np.array(g[3], np.int64) for g in group], similarity)
-
-        for batch in batches:
-            for path, i, j, block, c, tokens, paths in zip(*(x.to_pylist() for x in batch.columns)):
-                if (path, i, j) != now:
-                    out += done() if group else []
-                    now, group = (path, i, j), []
-                group.append((block, c, tokens, paths))
-            if out:
+            out += compare(path, i, j, blocks, classes, [np.frombuffer(g[2], np.uint64) for g in group], [np.array(g[3], np.int64) for g in group], similarity)
+            if len(out) > 5000:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], schema=arrow)
                 out = []
-        out += done() if group else []
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], schema=arrow)
 
-    order = ("path", "i", "j", "class")
     return map_batches(rows.select("path", "i", "j", "block", "class", "tokens", "paths").repartition(parts, "path", "i", "j").sortWithinPartitions(*order), run, schema)
 
 
