@@ -14,6 +14,8 @@ from . import adapters, oracle as o
 #: A posting list of a driver table may be so long; whole texts are records, so words are common.
 MOST = 20
 SETTINGS = blocking.Blocking(max_posting_list_size=MOST)
+#: The operator's own settings: what the queries without SQL run with.
+WHOLE = blocking.Blocking()
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
 
@@ -28,6 +30,10 @@ def query(sql: str | None = None, name: str | None = None):
     return add
 
 
+def _settings(whole):
+    return WHOLE if whole else SETTINGS
+
+
 def _truth(spark, sf_dir):
     return adapters.truth(spark, sf_dir)
 
@@ -170,9 +176,9 @@ def truth_samples(spark, sf_dir):
 _KEYS = o.base(o.NORMAL, o.key_tables())
 
 
-def _index(spark, sf_dir):
+def _index(spark, sf_dir, whole=False):
     _, s2, s3 = adapters.sources(spark, sf_dir)
-    return blocking.target_keys(s2, s3, SETTINGS)
+    return blocking.target_keys(s2, s3, _settings(whole))
 
 
 def _keys_of(name, spark, sf_dir):
@@ -192,18 +198,18 @@ _INDEX = o.base(o.NORMAL, o.key_tables()) + ", sizes AS (SELECT key, bit, count(
 
 
 @query(_INDEX + f"SELECT count(*) FILTER (size <= {MOST}) AS active_keys, count(*) FILTER (size > {MOST}) AS suppressed_keys, sum(size) FILTER (size <= {MOST})::BIGINT AS postings, avg(size) FILTER (size <= {MOST}) AS mean_postings, max(size) AS largest FROM sizes")
-def posting_stats(spark, sf_dir):
-    return blocking.posting_stats(_index(spark, sf_dir), SETTINGS)
+def posting_stats(spark, sf_dir, whole=False):
+    return blocking.posting_stats(_index(spark, sf_dir, whole), _settings(whole))
 
 
 @query(_INDEX + f"SELECT key, bit, size FROM sizes WHERE size > {MOST}")
-def suppressed_keys(spark, sf_dir):
-    return blocking.suppressed(_index(spark, sf_dir), SETTINGS)
+def suppressed_keys(spark, sf_dir, whole=False):
+    return blocking.suppressed(_index(spark, sf_dir, whole), _settings(whole))
 
 
 @query(_INDEX + f"SELECT key, size FROM sizes WHERE size > {MOST} ORDER BY size DESC, key LIMIT 10")
-def top_suppressed_keys(spark, sf_dir):
-    return blocking.suppressed(_index(spark, sf_dir), SETTINGS).select("key", "size").orderBy(F.desc("size"), "key").limit(10)
+def top_suppressed_keys(spark, sf_dir, whole=False):
+    return blocking.suppressed(_index(spark, sf_dir, whole), _settings(whole)).select("key", "size").orderBy(F.desc("size"), "key").limit(10)
 
 
 def _pair_sql(mode="allow_missing", *more):
@@ -213,8 +219,8 @@ def _pair_sql(mode="allow_missing", *more):
 _CANDIDATES = f"SELECT s1 AS source1_entity_id, t AS target_entity_id, target_source, {o.names_of()} AS strategies FROM pairs"
 
 
-def _candidates(mode, spark, sf_dir):
-    found = blocking.candidates(*adapters.sources(spark, sf_dir), replace(SETTINGS, country_agreement_mode=mode))
+def _candidates(mode, spark, sf_dir, whole=False):
+    found = blocking.candidates(*adapters.sources(spark, sf_dir), replace(_settings(whole), country_agreement_mode=mode))
     return found.withColumn("strategies", F.array_join("strategies", ","))
 
 
@@ -223,8 +229,8 @@ for _mode in ("allow_missing", "strict", "none"):
 
 
 @query(_pair_sql() + "SELECT s1, t FROM pairs WHERE mask & 1 <> 0")
-def candidates_exact_name(spark, sf_dir):
-    return _pairs(spark, sf_dir, replace(SETTINGS, strategies=("exact_name",))).select("s1", "t")
+def candidates_exact_name(spark, sf_dir, whole=False):
+    return _pairs(spark, sf_dir, replace(_settings(whole), strategies=("exact_name",))).select("s1", "t")
 
 
 # -- what blocking finds --------------------------------------------------------------------------
@@ -237,42 +243,42 @@ _SPACE = "(SELECT count(*) FROM records WHERE source = 1) * (SELECT count(*) FRO
     + f"""SELECT count(*) AS true_pairs, count(*) FILTER (hit) AS recovered, count(*) FILTER (NOT hit) AS missed, CASE WHEN count(*) > 0 THEN count(*) FILTER (hit)::DOUBLE / count(*) ELSE 1.0 END AS recall, (SELECT count(*) FROM pairs) AS candidate_pairs,
     (SELECT count(*) FROM records WHERE source = 1) AS s1_records, (SELECT count(*) FROM records WHERE source > 1) AS target_records, 1.0::DOUBLE - (SELECT count(*) FROM pairs)::DOUBLE / ({_SPACE}) AS reduction_ratio FROM flagged"""
 )
-def blocking_recall(spark, sf_dir):
+def blocking_recall(spark, sf_dir, whole=False):
     s1, _, _ = adapters.sources(spark, sf_dir)
-    return recall.overall(_edges(spark, sf_dir), _pairs(spark, sf_dir), s1, _targets(spark, sf_dir))
+    return recall.overall(_edges(spark, sf_dir), _pairs(spark, sf_dir, _settings(whole)), s1, _targets(spark, sf_dir))
 
 
 @query(
     _pair_sql()
     + "SELECT x.s AS target_source, count(f.s1) AS true_pairs, count(*) FILTER (f.hit) AS recovered, CASE WHEN count(f.s1) > 0 THEN count(*) FILTER (f.hit)::DOUBLE / count(f.s1) ELSE 1.0 END AS recall FROM (VALUES ('Source 2'), ('Source 3')) x(s) LEFT JOIN flagged f ON f.target_source = x.s GROUP BY x.s"
 )
-def recall_by_source(spark, sf_dir):
-    return recall.by_source(_edges(spark, sf_dir), _pairs(spark, sf_dir))
+def recall_by_source(spark, sf_dir, whole=False):
+    return recall.by_source(_edges(spark, sf_dir), _pairs(spark, sf_dir, _settings(whole)))
 
 
 @query(_pair_sql() + "SELECT coalesce(n.c, 'unknown') AS country, count(*) AS true_pairs, count(*) FILTER (hit) AS recovered, count(*) FILTER (hit)::DOUBLE / count(*) AS recall FROM flagged f LEFT JOIN normal n ON n.entity_id = f.s1 GROUP BY 1")
-def recall_by_country(spark, sf_dir):
+def recall_by_country(spark, sf_dir, whole=False):
     s1, _, _ = adapters.sources(spark, sf_dir)
-    return recall.by_country(_edges(spark, sf_dir), _pairs(spark, sf_dir), normalize.fields(s1))
+    return recall.by_country(_edges(spark, sf_dir), _pairs(spark, sf_dir, _settings(whole)), normalize.fields(s1))
 
 
 @query(_pair_sql() + "SELECT s1, n FROM per")
-def candidates_per_record(spark, sf_dir):
+def candidates_per_record(spark, sf_dir, whole=False):
     s1, _, _ = adapters.sources(spark, sf_dir)
-    return recall.per_record(s1, _pairs(spark, sf_dir))
+    return recall.per_record(s1, _pairs(spark, sf_dir, _settings(whole)))
 
 
 @query(_pair_sql() + "SELECT avg(n) AS mean, quantile_cont(n, 0.5) AS median, min(n) AS least, max(n) AS most, round(quantile_cont(n, 0.9), 6) AS p90, round(quantile_cont(n, 0.95), 6) AS p95, round(quantile_cont(n, 0.99), 6) AS p99 FROM per")
-def candidate_distribution(spark, sf_dir):
+def candidate_distribution(spark, sf_dir, whole=False):
     s1, _, _ = adapters.sources(spark, sf_dir)
-    out = recall.distribution(s1, _pairs(spark, sf_dir))
+    out = recall.distribution(s1, _pairs(spark, sf_dir, _settings(whole)))
     return out.withColumns({p: F.round(p, 6) for p in ("p90", "p95", "p99")})
 
 
 @query(_pair_sql() + "SELECT count(*) AS records, avg(n) AS mean, quantile_cont(n, 0.5) AS median, max(n) AS most FROM per WHERE s1 NOT IN (SELECT s1 FROM edges)")
-def zero_match_behaviour(spark, sf_dir):
+def zero_match_behaviour(spark, sf_dir, whole=False):
     s1, _, _ = adapters.sources(spark, sf_dir)
-    return recall.zero_match(s1, _edges(spark, sf_dir), _pairs(spark, sf_dir))
+    return recall.zero_match(s1, _edges(spark, sf_dir), _pairs(spark, sf_dir, _settings(whole)))
 
 
 _EACH = ", each AS (SELECT s1, count(*) AS k, count(*) FILTER (hit) AS g FROM flagged GROUP BY s1) "
@@ -282,22 +288,22 @@ _EACH = ", each AS (SELECT s1, count(*) AS k, count(*) FILTER (hit) AS g FROM fl
     _pair_sql() + _EACH
     + "SELECT count(*) AS records, coalesce(sum(k), 0)::BIGINT AS pairs, coalesce(sum(g), 0)::BIGINT AS recovered, count(*) FILTER (k = g) AS whole, CASE WHEN count(*) > 0 THEN sum(g)::DOUBLE / sum(k) ELSE 1.0 END AS recall, CASE WHEN count(*) > 0 THEN count(*) FILTER (k = g)::DOUBLE / count(*) ELSE 1.0 END AS whole_rate FROM each WHERE k > 1"
 )
-def multi_match_behaviour(spark, sf_dir):
+def multi_match_behaviour(spark, sf_dir, whole=False):
     s1, _, _ = adapters.sources(spark, sf_dir)
-    return recall.multi_match(s1, _edges(spark, sf_dir), _pairs(spark, sf_dir))
+    return recall.multi_match(s1, _edges(spark, sf_dir), _pairs(spark, sf_dir, _settings(whole)))
 
 
 @query(
     _pair_sql() + _EACH
     + "SELECT count(*) AS records, count(*) FILTER (g = 0) AS zero, count(*) FILTER (g = k) AS \"full\", count(*) FILTER (g > 0 AND g < k) AS partial, coalesce(avg(g::DOUBLE / k), 0.0) AS macro_recall, coalesce(sum(k), 0)::BIGINT AS true_pairs, coalesce(sum(g), 0)::BIGINT AS recovered, coalesce(sum(k - g), 0)::BIGINT AS missed, true AS consistent FROM each"
 )
-def record_recovery(spark, sf_dir):
-    return recall.s1_recovery(_edges(spark, sf_dir), _pairs(spark, sf_dir))
+def record_recovery(spark, sf_dir, whole=False):
+    return recall.s1_recovery(_edges(spark, sf_dir), _pairs(spark, sf_dir, _settings(whole)))
 
 
 @query(_pair_sql() + "SELECT s1 AS source1_entity_id, t AS target_entity_id, target_source, 'not_blocked' AS reason FROM flagged WHERE NOT hit")
-def missed_pairs(spark, sf_dir):
-    return recall.missed(_edges(spark, sf_dir), _pairs(spark, sf_dir))
+def missed_pairs(spark, sf_dir, whole=False):
+    return recall.missed(_edges(spark, sf_dir), _pairs(spark, sf_dir, _settings(whole)))
 
 
 @query(
@@ -308,9 +314,9 @@ def missed_pairs(spark, sf_dir):
         for k, b in {**o.BITS, "composite": 31}.items()
     )
 )
-def strategy_comparison(spark, sf_dir):
+def strategy_comparison(spark, sf_dir, whole=False):
     s1, _, _ = adapters.sources(spark, sf_dir)
-    return recall.by_strategy(_edges(spark, sf_dir), _pairs(spark, sf_dir), s1, _targets(spark, sf_dir), SETTINGS)
+    return recall.by_strategy(_edges(spark, sf_dir), _pairs(spark, sf_dir, _settings(whole)), s1, _targets(spark, sf_dir), _settings(whole))
 
 
 # -- training pairs -------------------------------------------------------------------------------
@@ -320,7 +326,7 @@ def _training(spark, sf_dir):
     edges = _edges(spark, sf_dir)
     s1, _, _ = adapters.sources(spark, sf_dir)
     pool = normalize.fields(_targets(spark, sf_dir)).select(F.col("entity_id").alias("t"), "country")
-    drawn = pairs.negatives(edges, pool, pairs.Negatives(negatives_per_positive=2), normalize.fields(s1), _pairs(spark, sf_dir))
+    drawn = pairs.negatives(edges, pool, pairs.Negatives(negatives_per_positive=2), normalize.fields(s1), _pairs(spark, sf_dir, WHOLE))
     return pairs.positives(edges).unionByName(drawn)
 
 
@@ -363,29 +369,29 @@ def training_pair_checks(spark, sf_dir):
 # -- final candidates -----------------------------------------------------------------------------
 
 
-def _twice(spark, sf_dir):
+def _twice(spark, sf_dir, whole=False):
     """Candidates as a file may have them: each found by exact name is there twice."""
-    found = _pairs(spark, sf_dir)
-    rows = found.select(F.col("s1").alias("source1_entity_id"), F.col("t").alias("target_entity_id"), "target_source", F.array_join(blocking.strategy_names(F.col("mask"), SETTINGS), ",").alias("strategies"), "mask")
+    found = _pairs(spark, sf_dir, _settings(whole))
+    rows = found.select(F.col("s1").alias("source1_entity_id"), F.col("t").alias("target_entity_id"), "target_source", F.array_join(blocking.strategy_names(F.col("mask"), _settings(whole)), ",").alias("strategies"), "mask")
     return rows.unionByName(rows.where(F.col("mask").bitwiseAND(1) != 0)).drop("mask")
 
 
 @query(_pair_sql() + _CANDIDATES)
-def final_candidates(spark, sf_dir):
-    return candidates.final(candidates.marked(_twice(spark, sf_dir)))
+def final_candidates(spark, sf_dir, whole=False):
+    return candidates.final(candidates.marked(_twice(spark, sf_dir, whole)))
 
 
 @query(_pair_sql() + " UNION ALL ".join(f"SELECT '{k}' AS strategy, count(*) AS n FROM pairs WHERE mask & {b} <> 0 HAVING count(*) > 0" for k, b in o.BITS.items()))
-def strategy_contributions(spark, sf_dir):
-    return candidates.contributions(candidates.final(candidates.marked(_twice(spark, sf_dir))))
+def strategy_contributions(spark, sf_dir, whole=False):
+    return candidates.contributions(candidates.final(candidates.marked(_twice(spark, sf_dir, whole))))
 
 
 @query(
     _pair_sql()
     + "SELECT count(*) AS records, min(n) AS least, max(n) AS most, avg(n) AS mean, sum(n)::BIGINT AS pairs, sum(n2)::BIGINT AS source2_pairs, sum(n - n2)::BIGINT AS source3_pairs, sum(n2)::DOUBLE / sum(n) AS source2_share, sum(n - n2)::DOUBLE / sum(n) AS source3_share FROM (SELECT s1, count(*) AS n, count(*) FILTER (target_source = 'Source 2') AS n2 FROM pairs GROUP BY s1)"
 )
-def candidate_degrees(spark, sf_dir):
-    return candidates.degree_stats(candidates.final(candidates.marked(_twice(spark, sf_dir))))
+def candidate_degrees(spark, sf_dir, whole=False):
+    return candidates.degree_stats(candidates.final(candidates.marked(_twice(spark, sf_dir, whole))))
 
 
 _FINAL = {"c1_s1_ids": "PASS", "c2_target_ids": "PASS", "c3_source_labels": "PASS", "c4_order": "PASS", "c5_duplicates": "WARN", "c6_test_leakage": "PASS", "c7_count": "PASS", "c8_commit": "WARN", "status": "PASS"}
@@ -397,18 +403,18 @@ _FINAL = {"c1_s1_ids": "PASS", "c2_target_ids": "PASS", "c3_source_labels": "PAS
     + ", ".join(f"CASE WHEN '{k}' = 'c5_duplicates' AND count(*) FILTER (mask & 1 <> 0) = 0 THEN 'PASS' ELSE '{v}' END AS {k}" for k, v in _FINAL.items())
     + " FROM pairs"
 )
-def final_candidate_checks(spark, sf_dir):
-    return candidates.final_checks(candidates.marked(_twice(spark, sf_dir)))
+def final_candidate_checks(spark, sf_dir, whole=False):
+    return candidates.final_checks(candidates.marked(_twice(spark, sf_dir, whole)))
 
 
 _BLOCK = ("c01_s1_ids", "c02_target_ids", "c03_no_cross_source", "c04_no_duplicates", "c05_order", "c06_metrics", "c07_no_test_leakage", "c08_no_enrichment", "c09_version", "c10_settings")
 
 
 @query(_pair_sql() + "SELECT count(*) AS pairs, count(*) AS unique_pairs, 0::BIGINT AS bad_s1_ids, 0::BIGINT AS bad_target_ids, 0::BIGINT AS cross_source, 0::BIGINT AS leaks, 0::BIGINT AS inversions, " + ", ".join(f"'PASS' AS {c}" for c in _BLOCK) + ", 'WARN' AS c11_commit, 'PASS' AS c12_strategy, 'PASS' AS status FROM pairs")
-def blocking_checks(spark, sf_dir):
+def blocking_checks(spark, sf_dir, whole=False):
     s1, s2, s3 = adapters.sources(spark, sf_dir)
-    found = blocking.candidates(s1, s2, s3, SETTINGS)
-    return candidates.blocking_checks(found, blocking_recall(spark, sf_dir), version="1", settings=SETTINGS.to_dict(), strategy="composite")
+    found = blocking.candidates(s1, s2, s3, _settings(whole))
+    return candidates.blocking_checks(found, blocking_recall(spark, sf_dir, whole), version="1", settings=_settings(whole).to_dict(), strategy="composite")
 
 
 # -- features -------------------------------------------------------------------------------------
@@ -421,8 +427,8 @@ def _records(spark, sf_dir):
     return features.one_of_each(*[normalize.normalize(r) for r in adapters.sources(spark, sf_dir)])
 
 
-def _features(spark, sf_dir):
-    found = blocking.candidates(*adapters.sources(spark, sf_dir), replace(SETTINGS, strategies=SETTINGS.strategies))
+def _features(spark, sf_dir, whole=False):
+    found = blocking.candidates(*adapters.sources(spark, sf_dir), _settings(whole))
     return features.pair_features(found, _records(spark, sf_dir))
 
 
@@ -433,20 +439,30 @@ def features_true_pairs(spark, sf_dir):
 
 
 @query(_pair_sql("allow_missing", o.feature_sql(_ALL_PAIRS)) + "SELECT * FROM features")
-def features_candidates(spark, sf_dir):
-    return _features(spark, sf_dir).drop("s1_found", "target_found", "strategies")
+def features_candidates(spark, sf_dir, whole=False):
+    return _features(spark, sf_dir, whole).drop("s1_found", "target_found", "strategies")
 
 
 @query(_pair_sql("allow_missing", o.feature_sql(_ALL_PAIRS)) + "SELECT feature, round(avg(v), 9) AS mean, min(v) AS least, max(v) AS most FROM (UNPIVOT (SELECT * EXCLUDE (source1_entity_id, target_entity_id, target_source) FROM features) ON COLUMNS(*) INTO NAME feature VALUE v) GROUP BY feature")
-def feature_summary(spark, sf_dir):
-    return features.summary(_features(spark, sf_dir)).withColumn("mean", F.round("mean", 9))
+def feature_summary(spark, sf_dir, whole=False):
+    return features.summary(_features(spark, sf_dir, whole)).withColumn("mean", F.round("mean", 9))
 
 
 @query(_pair_sql() + "SELECT count(*) AS row_count, 0::BIGINT AS missing_s1, 0::BIGINT AS missing_targets, 0::BIGINT AS odd_rows, 'PASS' AS c1_schema, 'PASS' AS c2_dimension, 'PASS' AS c3_finite, 'PASS' AS c4_no_labels, 'PASS' AS c5_rows, 'WARN' AS c6_commit, 'PASS' AS status FROM pairs")
-def feature_checks(spark, sf_dir):
-    return features.checks(_features(spark, sf_dir), candidate=True)
+def feature_checks(spark, sf_dir, whole=False):
+    return features.checks(_features(spark, sf_dir, whole), candidate=True)
+
+
+#: Queries on blocking pairs; each is registered once more, without SQL, as ``..._whole``: with the operator's own settings.
+BLOCKED = (
+    "posting_stats", "suppressed_keys", "top_suppressed_keys", "candidates_allow_missing", "candidates_strict", "candidates_none", "candidates_exact_name", "blocking_recall", "recall_by_source", "recall_by_country",
+    "candidates_per_record", "candidate_distribution", "zero_match_behaviour", "multi_match_behaviour", "record_recovery", "missed_pairs", "strategy_comparison", "final_candidates", "strategy_contributions",
+    "candidate_degrees", "final_candidate_checks", "blocking_checks", "features_candidates", "feature_summary", "feature_checks",
+)
+for _name in BLOCKED:
+    query(name=f"{_name}_whole")(partial(QUERIES[_name], whole=True))
 
 
 def flagship(spark, sf_dir):
-    """Candidates of all strategies with what each finds of the truth."""
-    return strategy_comparison(spark, sf_dir)
+    """Candidates of all strategies with what each finds of the truth, with the operator's own settings."""
+    return strategy_comparison(spark, sf_dir, whole=True)
