@@ -63,6 +63,26 @@ def profile(truth: DataFrame) -> DataFrame:
     return out.crossJoin(named).select(*out.columns, (F.col("named") - F.col("unique_source1")).alias("duplicate_source1_rows"))
 
 
+def cardinality_of_classes(classes: DataFrame) -> DataFrame:
+    """``cardinality`` of records that match where their texts are equal, from n1, n2, n3 of each text."""
+    counts = classes.where("n1 > 0").groupBy((F.col("n2") + F.col("n3")).alias("matches")).agg(F.sum("n1").alias("n"))
+    total = counts.agg(F.sum("n").alias("total"))
+    return counts.crossJoin(F.broadcast(total)).select("matches", "n", (F.col("n") * 100.0 / F.col("total")).alias("percentage")).orderBy("matches")
+
+
+def profile_of_classes(classes: DataFrame) -> DataFrame:
+    """``profile`` of such records, whose ids are there and unique: what would need lists is counted in classes."""
+    n, m = F.col("n1"), F.col("n2") + F.col("n3")
+    total = lambda x: F.coalesce(F.sum(x), F.lit(0)).cast("long")
+    when = lambda c, x: F.when(c, x).otherwise(0)
+    none = F.lit(0).cast("long")
+    return classes.where("n1 > 0").agg(
+        total(n).alias("row_count"), total(n).alias("unique_source1"), total(n * m).alias("positive_pairs"), total(when(m == 0, n)).alias("zero_match"), total(when(m == 1, n)).alias("one_match"), total(when(m > 1, n)).alias("multi_match"),
+        F.coalesce(F.max(m), F.lit(0)).cast("long").alias("max_matches"), none.alias("missing_source1"), none.alias("duplicates_in_rows"), total(n * F.col("n2")).alias("s2_references"), total(n * F.col("n3")).alias("s3_references"),
+        none.alias("unknown_references"), total("n2").alias("s2_targets"), total("n3").alias("s3_targets"), none.alias("repeated_pairs"), none.alias("duplicate_source1_rows"),
+    )
+
+
 def samples(truth: DataFrame, n: int = 10) -> DataFrame:
     """kind, s1, t: the first positive pairs and the first ids without matches (a report of ``n`` each)."""
     d = degrees(truth)

@@ -39,3 +39,17 @@ def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     least = lambda k: F.min(F.when(F.col("source") == k, F.col("entity_id")))
     lists = rows.where("source > 1").groupBy("h").agg(F.concat_ws(",", least(2), least(3)).alias("ids"))
     return rows.where("source = 1").join(lists, "h", "left").select(F.col("entity_id").alias("source1_entity_id"), F.coalesce("ids", F.lit("")).alias("matched_entity_ids"))
+
+
+def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """s1, t, target_source: every pair of a record of source 1 and one of another source with its text, one row each and no lists."""
+    rows = all_records(spark, sf_dir).select("entity_id", "source", F.sha2("text", 256).alias("h"))
+    others = rows.where("source > 1").select("h", F.col("entity_id").alias("t"), F.concat(F.lit("Source "), F.col("source").cast("string")).alias("target_source"))
+    return rows.where("source = 1").select("h", F.col("entity_id").alias("s1")).join(others, "h").select("s1", "t", "target_source")
+
+
+def classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """n1, n2, n3: for each text how many records of each source have it; groups of copies are counted, not expanded. A null text matches none."""
+    rows = all_records(spark, sf_dir).select("source", F.sha2("text", 256).alias("h"))
+    n = lambda k: F.count_if((F.col("source") == k) & (F.col("h").isNotNull() | (F.col("source") == 1))).alias(f"n{k}")
+    return rows.groupBy("h").agg(n(1), n(2), n(3)).drop("h")

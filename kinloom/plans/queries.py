@@ -38,8 +38,8 @@ def _truth(spark, sf_dir):
     return adapters.truth(spark, sf_dir)
 
 
-def _edges(spark, sf_dir):
-    return truth.edges(_truth(spark, sf_dir))
+def _edges(spark, sf_dir, whole=False):
+    return adapters.matches(spark, sf_dir) if whole else truth.edges(_truth(spark, sf_dir))
 
 
 def _pairs(spark, sf_dir, settings=SETTINGS):
@@ -147,12 +147,14 @@ def unknown_references(spark, sf_dir):
 
 
 @query(_TRUTH + "SELECT * FROM edges")
-def truth_edges(spark, sf_dir):
-    return _edges(spark, sf_dir)
+def truth_edges(spark, sf_dir, whole=False):
+    return _edges(spark, sf_dir, whole)
 
 
 @query(_TRUTH + _DEG.replace(", deg AS", ", deg AS", 1) + " SELECT m::BIGINT AS matches, count(*) AS n, count(*) * 100.0::DOUBLE / (SELECT count(*) FROM deg) AS percentage FROM deg GROUP BY m")
-def truth_cardinality(spark, sf_dir):
+def truth_cardinality(spark, sf_dir, whole=False):
+    if whole:
+        return truth.cardinality_of_classes(adapters.classes(spark, sf_dir))
     return truth.cardinality(_truth(spark, sf_dir))
 
 
@@ -162,7 +164,9 @@ def truth_cardinality(spark, sf_dir):
     0::BIGINT AS missing_source1, 0::BIGINT AS duplicates_in_rows, (SELECT count(*) FROM edges WHERE target_source = 'Source 2') AS s2_references, (SELECT count(*) FROM edges WHERE target_source = 'Source 3') AS s3_references, 0::BIGINT AS unknown_references,
     (SELECT count(DISTINCT t) FROM edges WHERE target_source = 'Source 2') AS s2_targets, (SELECT count(DISTINCT t) FROM edges WHERE target_source = 'Source 3') AS s3_targets, 0::BIGINT AS repeated_pairs, 0::BIGINT AS duplicate_source1_rows FROM deg"""
 )
-def truth_profile(spark, sf_dir):
+def truth_profile(spark, sf_dir, whole=False):
+    if whole:
+        return truth.profile_of_classes(adapters.classes(spark, sf_dir))
     return truth.profile(_truth(spark, sf_dir))
 
 
@@ -245,7 +249,7 @@ _SPACE = "(SELECT count(*) FROM records WHERE source = 1) * (SELECT count(*) FRO
 )
 def blocking_recall(spark, sf_dir, whole=False):
     s1, _, _ = adapters.sources(spark, sf_dir)
-    return recall.overall(_edges(spark, sf_dir), _pairs(spark, sf_dir, _settings(whole)), s1, _targets(spark, sf_dir))
+    return recall.overall(_edges(spark, sf_dir, whole), _pairs(spark, sf_dir, _settings(whole)), s1, _targets(spark, sf_dir))
 
 
 @query(
@@ -253,13 +257,13 @@ def blocking_recall(spark, sf_dir, whole=False):
     + "SELECT x.s AS target_source, count(f.s1) AS true_pairs, count(*) FILTER (f.hit) AS recovered, CASE WHEN count(f.s1) > 0 THEN count(*) FILTER (f.hit)::DOUBLE / count(f.s1) ELSE 1.0 END AS recall FROM (VALUES ('Source 2'), ('Source 3')) x(s) LEFT JOIN flagged f ON f.target_source = x.s GROUP BY x.s"
 )
 def recall_by_source(spark, sf_dir, whole=False):
-    return recall.by_source(_edges(spark, sf_dir), _pairs(spark, sf_dir, _settings(whole)))
+    return recall.by_source(_edges(spark, sf_dir, whole), _pairs(spark, sf_dir, _settings(whole)))
 
 
 @query(_pair_sql() + "SELECT coalesce(n.c, 'unknown') AS country, count(*) AS true_pairs, count(*) FILTER (hit) AS recovered, count(*) FILTER (hit)::DOUBLE / count(*) AS recall FROM flagged f LEFT JOIN normal n ON n.entity_id = f.s1 GROUP BY 1")
 def recall_by_country(spark, sf_dir, whole=False):
     s1, _, _ = adapters.sources(spark, sf_dir)
-    return recall.by_country(_edges(spark, sf_dir), _pairs(spark, sf_dir, _settings(whole)), normalize.fields(s1))
+    return recall.by_country(_edges(spark, sf_dir, whole), _pairs(spark, sf_dir, _settings(whole)), normalize.fields(s1))
 
 
 @query(_pair_sql() + "SELECT s1, n FROM per")
@@ -278,7 +282,7 @@ def candidate_distribution(spark, sf_dir, whole=False):
 @query(_pair_sql() + "SELECT count(*) AS records, avg(n) AS mean, quantile_cont(n, 0.5) AS median, max(n) AS most FROM per WHERE s1 NOT IN (SELECT s1 FROM edges)")
 def zero_match_behaviour(spark, sf_dir, whole=False):
     s1, _, _ = adapters.sources(spark, sf_dir)
-    return recall.zero_match(s1, _edges(spark, sf_dir), _pairs(spark, sf_dir, _settings(whole)))
+    return recall.zero_match(s1, _edges(spark, sf_dir, whole), _pairs(spark, sf_dir, _settings(whole)))
 
 
 _EACH = ", each AS (SELECT s1, count(*) AS k, count(*) FILTER (hit) AS g FROM flagged GROUP BY s1) "
@@ -290,7 +294,7 @@ _EACH = ", each AS (SELECT s1, count(*) AS k, count(*) FILTER (hit) AS g FROM fl
 )
 def multi_match_behaviour(spark, sf_dir, whole=False):
     s1, _, _ = adapters.sources(spark, sf_dir)
-    return recall.multi_match(s1, _edges(spark, sf_dir), _pairs(spark, sf_dir, _settings(whole)))
+    return recall.multi_match(s1, _edges(spark, sf_dir, whole), _pairs(spark, sf_dir, _settings(whole)))
 
 
 @query(
@@ -298,12 +302,12 @@ def multi_match_behaviour(spark, sf_dir, whole=False):
     + "SELECT count(*) AS records, count(*) FILTER (g = 0) AS zero, count(*) FILTER (g = k) AS \"full\", count(*) FILTER (g > 0 AND g < k) AS partial, coalesce(avg(g::DOUBLE / k), 0.0) AS macro_recall, coalesce(sum(k), 0)::BIGINT AS true_pairs, coalesce(sum(g), 0)::BIGINT AS recovered, coalesce(sum(k - g), 0)::BIGINT AS missed, true AS consistent FROM each"
 )
 def record_recovery(spark, sf_dir, whole=False):
-    return recall.s1_recovery(_edges(spark, sf_dir), _pairs(spark, sf_dir, _settings(whole)))
+    return recall.s1_recovery(_edges(spark, sf_dir, whole), _pairs(spark, sf_dir, _settings(whole)))
 
 
 @query(_pair_sql() + "SELECT s1 AS source1_entity_id, t AS target_entity_id, target_source, 'not_blocked' AS reason FROM flagged WHERE NOT hit")
 def missed_pairs(spark, sf_dir, whole=False):
-    return recall.missed(_edges(spark, sf_dir), _pairs(spark, sf_dir, _settings(whole)))
+    return recall.missed(_edges(spark, sf_dir, whole), _pairs(spark, sf_dir, _settings(whole)))
 
 
 @query(
@@ -316,14 +320,14 @@ def missed_pairs(spark, sf_dir, whole=False):
 )
 def strategy_comparison(spark, sf_dir, whole=False):
     s1, _, _ = adapters.sources(spark, sf_dir)
-    return recall.by_strategy(_edges(spark, sf_dir), _pairs(spark, sf_dir, _settings(whole)), s1, _targets(spark, sf_dir), _settings(whole))
+    return recall.by_strategy(_edges(spark, sf_dir, whole), _pairs(spark, sf_dir, _settings(whole)), s1, _targets(spark, sf_dir), _settings(whole))
 
 
 # -- training pairs -------------------------------------------------------------------------------
 
 
 def _training(spark, sf_dir):
-    edges = _edges(spark, sf_dir)
+    edges = _edges(spark, sf_dir, whole=True)
     s1, _, _ = adapters.sources(spark, sf_dir)
     pool = normalize.fields(_targets(spark, sf_dir)).select(F.col("entity_id").alias("t"), "country")
     drawn = pairs.negatives(edges, pool, pairs.Negatives(negatives_per_positive=2), normalize.fields(s1), _pairs(spark, sf_dir, WHOLE))
@@ -331,8 +335,8 @@ def _training(spark, sf_dir):
 
 
 @query(_TRUTH + "SELECT s1 AS source1_entity_id, t AS target_entity_id, target_source, 1 AS label, 'positive' AS pair_type FROM edges")
-def positive_pairs(spark, sf_dir):
-    return pairs.positives(_edges(spark, sf_dir))
+def positive_pairs(spark, sf_dir, whole=False):
+    return pairs.positives(_edges(spark, sf_dir, whole))
 
 
 @query()
@@ -346,8 +350,8 @@ def training_pair_stats(spark, sf_dir):
 
 
 @query(_TRUTH + "SELECT target_source, 0::BIGINT AS label_0, count(*) AS label_1 FROM edges GROUP BY target_source")
-def positive_label_pivot(spark, sf_dir):
-    return pairs.label_pivot(pairs.positives(_edges(spark, sf_dir)))
+def positive_label_pivot(spark, sf_dir, whole=False):
+    return pairs.label_pivot(pairs.positives(_edges(spark, sf_dir, whole)))
 
 
 @query(
@@ -356,14 +360,14 @@ def positive_label_pivot(spark, sf_dir):
     + ", ".join(f"'PASS' AS {c}" for c in ("c01_positive_fidelity", "c02_negative_integrity", "c03_no_duplicates", "c04_valid_s1_ids", "c05_valid_target_ids", "c06_labels", "c07_all_positives", "c08_multi_match", "c09_reproducible", "c10_no_test_leakage", "c11_no_enrichment"))
     + " FROM edges"
 )
-def positive_pair_checks(spark, sf_dir):
-    edges = _edges(spark, sf_dir)
+def positive_pair_checks(spark, sf_dir, whole=False):
+    edges = _edges(spark, sf_dir, whole)
     return pairs.checks(pairs.positives(edges), edges, all_positives=True)
 
 
 @query()
 def training_pair_checks(spark, sf_dir):
-    return pairs.checks(_training(spark, sf_dir), _edges(spark, sf_dir), all_positives=True)
+    return pairs.checks(_training(spark, sf_dir), _edges(spark, sf_dir, whole=True), all_positives=True)
 
 
 # -- final candidates -----------------------------------------------------------------------------
@@ -433,8 +437,8 @@ def _features(spark, sf_dir, whole=False):
 
 
 @query(o.base(o.NORMAL, o.TRUTH, o.feature_sql(_EDGE_PAIRS)) + "SELECT * FROM features")
-def features_true_pairs(spark, sf_dir):
-    edges = pairs.positives(_edges(spark, sf_dir)).drop("label", "pair_type")
+def features_true_pairs(spark, sf_dir, whole=False):
+    edges = pairs.positives(_edges(spark, sf_dir, whole)).drop("label", "pair_type")
     return features.pair_features(edges, _records(spark, sf_dir)).drop("s1_found", "target_found")
 
 
@@ -453,13 +457,14 @@ def feature_checks(spark, sf_dir, whole=False):
     return features.checks(_features(spark, sf_dir, whole), candidate=True)
 
 
-#: Queries on blocking pairs; each is registered once more, without SQL, as ``..._whole``: with the operator's own settings.
+#: Queries on blocking pairs or the truth; each is registered once more, without SQL, as ``..._whole``: with the operator's own settings and all matches.
 BLOCKED = (
     "posting_stats", "suppressed_keys", "top_suppressed_keys", "candidates_allow_missing", "candidates_strict", "candidates_none", "candidates_exact_name", "blocking_recall", "recall_by_source", "recall_by_country",
     "candidates_per_record", "candidate_distribution", "zero_match_behaviour", "multi_match_behaviour", "record_recovery", "missed_pairs", "strategy_comparison", "final_candidates", "strategy_contributions",
     "candidate_degrees", "final_candidate_checks", "blocking_checks", "features_candidates", "feature_summary", "feature_checks",
 )
-for _name in BLOCKED:
+TRUE = ("truth_edges", "truth_cardinality", "truth_profile", "positive_pairs", "positive_label_pivot", "positive_pair_checks", "features_true_pairs")
+for _name in BLOCKED + TRUE:
     query(name=f"{_name}_whole")(partial(QUERIES[_name], whole=True))
 
 

@@ -5,7 +5,7 @@ from collections import defaultdict
 import pytest
 
 import __spark_entry__ as entry
-from kinloom.operators import blocking
+from kinloom.operators import blocking, truth
 from kinloom.plans import adapters, queries
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -55,3 +55,28 @@ def test_every_query_on_pairs_runs_whole(spark, tables):
     for name in ("posting_stats", "blocking_recall", "missed_pairs", "candidate_degrees", "final_candidate_checks", "blocking_checks", "feature_checks"):
         entry.queries()[f"{name}_whole"](spark, tables).collect()
     assert entry.queries()["candidate_degrees_whole"](spark, tables).first().pairs == len(brute_pairs(spark, tables, 500))
+
+
+def brute_matches(spark, sf_dir):
+    rows = [(r.entity_id, r.source, r.text) for r in adapters.all_records(spark, sf_dir).collect()]
+    return {(a, b) for a, k, x in rows if k == 1 for b, j, y in rows if j > 1 and x == y}
+
+
+def test_truth_has_all_equal_texts(spark, tables):
+    want = brute_matches(spark, tables)
+    assert len(want) == 16
+    assert sorted((r.s1, r.t, r.target_source[-1]) for r in entry.queries()["truth_edges_whole"](spark, tables).collect()) == sorted((a, b, b[1]) for a, b in want)
+    ids = [r.entity_id for r in adapters.sources(spark, tables)[0].collect()]
+    lists = spark.createDataFrame([(a, ",".join(sorted(b for c, b in want if c == a))) for a in ids], "source1_entity_id string, matched_entity_ids string")
+    assert entry.queries()["truth_cardinality_whole"](spark, tables).collect() == truth.cardinality(lists).collect()
+    assert entry.queries()["truth_profile_whole"](spark, tables).first().asDict() == truth.profile(lists).first().asDict()
+    assert entry.queries()["multi_match_behaviour_whole"](spark, tables).first().pairs == 16
+
+
+def test_no_equal_text_is_a_negative(spark, tables):
+    want = brute_matches(spark, tables)
+    rows = entry.queries()["training_pairs"](spark, tables).collect()
+    assert {(r.source1_entity_id, r.target_entity_id) for r in rows if r.label == 1} == want
+    negative = [(r.source1_entity_id, r.target_entity_id) for r in rows if r.label == 0]
+    assert len(negative) == 2 * len(want) and not want & set(negative)
+    print("exact-name pairs at 20 and 500:", [blocking.pairs(*adapters.sources(spark, tables), blocking.Blocking(max_posting_list_size=m, strategies=("exact_name",))).count() for m in (20, 500)], "true pairs, lists of the SQL:", truth.edges(adapters.truth(spark, tables)).count())
