@@ -1,0 +1,45 @@
+import random
+import zlib
+
+import numpy as np
+
+from kinloom.llm import pitman_yor as py
+
+
+def follow(n=700, pairs=600, seed=2):
+    """Each word of many has one that follows it, so a context of its own tells the next word and a common rest doesn't."""
+    r = random.Random(seed)
+    return [(i, " ".join(x for _ in range(10) for x in (lambda k: (f"first{k}", f"second{k}"))(r.randrange(pairs)))) for i in range(n)]
+
+
+def test_every_word_before_another_is_a_context(spark, make_docs):
+    rows = py.score_documents(make_docs(follow()).repartition(3)).where("held_out").collect()
+    a, b = (sum(getattr(r, c) for r in rows) / sum(r.n_tokens for r in rows) for c in ("score", "base_score"))
+    # 600 words each side: about log10(600) for the first of a pair, little for the second
+    assert len(rows) > 50 and a > 0.65 * b
+
+
+def test_totals_of_contexts_are_exact(spark, make_docs):
+    docs = make_docs(follow(120)).select("doc_id", "text").repartition(3)
+    asked = py.blocks(docs, 4).where("kind = 1").localCheckpoint()
+    replies, total = py.spreads(asked, 4)
+    learned = [["", *t.split(), ""] for i, t in follow(120) if zlib.crc32(str(i).encode()) % 7 != 2]
+    after = {}
+    for words in learned:
+        for a, b in zip(words, words[1:]):
+            after.setdefault(a, set()).add(b)
+    assert total == sum(map(len, after.values()))
+    known = {}
+    for r in replies.collect():
+        hashes, n = py.unpack(r.data)
+        known |= zip(hashes.tolist(), n.astype(int).tolist())
+    want = {py.xxhash.xxh3_64_intdigest(a.encode()): len(b) for a, b in after.items()}
+    assert {k: n for k, n in known.items() if n} == want
+
+
+def test_shards_alone_or_together_count_the_same():
+    ids, texts = zip(*follow(50))
+    for shards in (1, 5):
+        _, out = py.block_of(list(ids), list(texts), shards)
+        assert sum(int(py.asked_of(x)[4].sum()) for _, x in out) == sum(len(py.tokens(t)) for i, t in zip(ids, texts) if py.learns(i))
+        assert np.unique(np.concatenate([py.asked_of(x)[0] for _, x in out])).size == len({w for t in texts for w in py.tokens(t)})
