@@ -43,3 +43,12 @@ def test_shards_alone_or_together_count_the_same():
         _, out = py.block_of(list(ids), list(texts), shards)
         assert sum(int(py.asked_of(x)[4].sum()) for _, x in out) == sum(len(py.tokens(t)) for i, t in zip(ids, texts) if py.learns(i))
         assert np.unique(np.concatenate([py.asked_of(x)[0] for _, x in out])).size == len({w for t in texts for w in py.tokens(t)})
+
+
+def test_words_of_a_few_documents_are_contexts(spark, make_docs):
+    """One text of fifty in words of its own, beside more training documents than a sample of two thousand."""
+    rows = follow(3000, 150)
+    rare = set(range(0, 3000, 50))
+    rows = [(i, t.replace("first", "erst").replace("second", "zweit") if i in rare else t) for i, t in rows]
+    found = [r for r in py.score_documents(make_docs(rows).repartition(3)).where("held_out").collect() if r.doc_id in rare]
+    assert len(found) > 3 and sum(r.score for r in found) > 0.85 * sum(r.base_score for r in found)
