@@ -137,14 +137,14 @@ def tensors(values: list, shape: tuple[int, int] = (PATCH, MELS)) -> pa.FixedSha
 
 def _rows(text: str, media: bytes, n: int) -> tuple:
     p, spans, loud = features(media)
-    return media, [{"start_ms": a, "end_ms": b, "mel": t.ravel()} for (a, b), t in zip(spans, p)], [{"start_ms": a, "end_ms": b} for a, b in loud]
+    return media, [{"start_ms": a, "end_ms": b, "mel": t.ravel()} for (a, b), t in zip(spans, tensors(list(p)).to_numpy_ndarray())], [{"start_ms": a, "end_ms": b} for a, b in loud]
 
 
 def media_columns(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", project: Callable | None = None, ddl: str = "media binary, patches array<struct<start_ms: double, end_ms: double, mel: array<float>>>, segments array<struct<start_ms: double, end_ms: double>>") -> DataFrame:
     """Each whole text as a sound file, with the log-mel patches and loud segments read back from it.
 
-    ``mel`` is a patch row by row, of PATCH x MELS numbers always; ``tensors`` makes Arrow's tensors
-    of them. ``project(text, media, n_bytes)`` may reduce a document to the columns of ``ddl`` in the
+    ``mel`` is a patch row by row, of PATCH x MELS numbers always: the storage of the document's Arrow
+    tensors, whose type Spark's columns don't have; ``tensors`` makes them of it again. ``project(text, media, n_bytes)`` may reduce a document to the columns of ``ddl`` in the
     same pass. A null or empty text is 64 zero bytes. Each text is computed alone, so equal texts have
     equal values; repeated rows are answered once each.
     """
@@ -167,5 +167,6 @@ def digest(text: str, media: bytes, n: int) -> tuple:
     """n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature."""
     _, samples = load(media)
     p, spans, loud = features(media)
+    p = tensors(list(p)).to_numpy_ndarray()
     line = f"{len(spans)} patches, {len(loud)} segments, {spans[-1][1]:.0f} ms, {hashlib.sha256(np.round(p * 1000).astype('<i4').tobytes() + repr(loud).encode()).hexdigest()}"
     return n, len(samples), hashlib.sha256(samples).hexdigest(), zlib.crc32(samples[-64:]), len(media), hashlib.sha256(media).hexdigest(), line
