@@ -7,15 +7,13 @@ Arrow function, which ASCII text skips within. Every function treats null as the
 from __future__ import annotations
 
 import unicodedata
-from functools import reduce
-
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import StringType
 
-from .words import COUNTRY_NAMES, LEGAL_FORMS, NULL_CELLS, NULL_WORDS
+from .words import COUNTRY_CODES, LEGAL_FORMS, NULL_CELLS, NULL_WORDS
 
 #: Word characters and white space, as the golden vectors have them: marks are no word characters.
 W = r"[\p{L}\p{N}_]"
@@ -36,6 +34,10 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, f"^{SPACE}+|{SPACE}+$", "")
 
 
+#: What counts as white space once a text is cleaned: zero-width blanks too.
+BLANKS = SPACE[:-1] + r"\u200b\ufeff]+"
+
+
 def squeeze(c: Column) -> Column:
     """Runs of white space become one blank; none at the ends."""
     return F.trim(F.regexp_replace(c, f"{SPACE}+", " "))
@@ -52,39 +54,64 @@ def is_blank(c: Column) -> Column:
 
 def cell_kind(c: Column) -> Column:
     """null, empty, whitespace or valid."""
-    return F.when(c.isNull() | c.isin(*NULL_CELLS), "null").when(F.length(c) == 0, "empty").when(strip(c) == "", "whitespace").otherwise("valid")
+    return (
+        F.when(c.isNull() | c.isin(*NULL_CELLS), "null").when(F.length(c) == 0, "empty")
+        .when(strip(c) == "", "whitespace").otherwise("valid")
+    )
 
 
 def clean(c: Column, compose: bool = True) -> Column:
     """NFKC, lower case, plain single blanks; a word for null becomes empty."""
     c = filled(c)
     base = F.when(F.lower(c).isin(*NULL_WORDS), "").otherwise(nfkc(c) if compose else c)
-    return squeeze(F.regexp_replace(F.lower(base), r"[\t\r\n\u00a0\u200b\ufeff]", " "))
+    return F.trim(F.regexp_replace(F.lower(base), BLANKS, " "))
+
+
+#: Signs that separate words, in names and in addresses.
+_SIGNS = r""",;:/\\|()\[\]{}"~`!@#$%^*_=?<>"""
+_LETTER = r"[\p{L}\p{N}]"
+
+
+def _joined(signs: str) -> str:
+    """Runs of signs, blanks, and hyphens and apostrophes that don't stand between two letters or digits; one pass."""
+    return rf"(?:[{signs}{SPACE[1:-1]}]|[-'](?:(?!{_LETTER})|(?<!{_LETTER}[-'])))+"
 
 
-def _steps(c: Column, *rules: tuple[str, str]) -> Column:
-    return reduce(lambda x, rule: F.regexp_replace(x, *rule), rules, c)
+_NAME_GAPS, _ADDRESS_GAPS = _joined(_SIGNS), _joined(_SIGNS + "&")
 
 
-_DOT_AFTER_WORD = (rf"(?<={W})\.(?={SPACE}|$)", "")
-_LONE_DOT = (rf"{SPACE}+\.{SPACE}+", " ")
-_LOOSE = [(rf"(?<!{W})-|-(?!{W})", " "), (rf"(?<!{W})'|'(?!{W})", " ")]
+def _without_dots(c: Column) -> Column:
+    """Without the dots that end a word, and without those that stand alone."""
+    ended = F.regexp_replace(c, rf"\.(?={SPACE}|$)(?<={W}\.)", "")
+    return F.when(ended.contains(" ."), F.regexp_replace(ended, rf"{SPACE}+\.{SPACE}+", " ")).otherwise(ended)
 
 
 def normal_name(cleaned: Column) -> Column:
-    """A cleaned name with & and + as words, without dots of abbreviations, separators as blanks, inner hyphens kept."""
-    acronym = (rf"(?<=(?<!{W}){W})\.(?={W}(?!{W}))", "")
-    return squeeze(_steps(cleaned, (r"[&+]", " and "), acronym, _DOT_AFTER_WORD, _LONE_DOT, (r"""[,;:/\\|()\[\]{}"~`!@#$%^*_=?<>]+""", " "), *_LOOSE))
+    """A cleaned name with & and + as words, without dots of abbreviations, signs as blanks, inner hyphens kept."""
+    spelled = F.replace(F.replace(cleaned, F.lit("&"), F.lit(" and ")), F.lit("+"), F.lit(" and "))
+    plain = F.regexp_replace(spelled, rf"\.(?={W}(?!{W}))(?<=(?<!{W}){W}\.)", "")
+    return F.trim(F.regexp_replace(_without_dots(plain), _NAME_GAPS, " "))
 
 
 def normal_address(cleaned: Column) -> Column:
-    """A cleaned address without dots of abbreviations, separators (& too) as blanks, inner hyphens kept."""
-    return squeeze(_steps(cleaned, _DOT_AFTER_WORD, _LONE_DOT, (r"""[,;:/\\|()\[\]{}"~`!@#$%^&*_=?<>]+""", " "), *_LOOSE))
+    """A cleaned address without dots of abbreviations, signs (& too) as blanks, inner hyphens kept."""
+    return F.trim(F.regexp_replace(_without_dots(cleaned), _ADDRESS_GAPS, " "))
 
 
 def alnum(normal: Column) -> Column:
     """Letters, digits and marks alone, others as blanks."""
-    return squeeze(F.regexp_replace(normal, r"[^\p{L}\p{N}\p{M}]", " "))
+    return F.trim(F.regexp_replace(normal, r"[^\p{L}\p{N}\p{M}]+", " "))
+
+
+def alnum_name(normal: Column) -> Column:
+    """``alnum`` of a normal name that is cleaned and normalised once more; without a dot in it that changes nothing."""
+    again = F.when(normal.contains("."), alnum(normal_name(clean(normal, False)))).otherwise(alnum(normal))
+    return F.when(normal.isin(*NULL_WORDS), "").otherwise(again)
+
+
+def alnum_address(normal: Column) -> Column:
+    """``alnum`` of a normal address that is cleaned and normalised once more, which only blanks words for null."""
+    return F.when(normal.isin(*NULL_WORDS), "").otherwise(alnum(normal))
 
 
 def without_forms(normal: Column) -> Column:
@@ -95,16 +122,20 @@ def without_forms(normal: Column) -> Column:
 
 
 def name_core(normal: Column, cut: Column | None = None) -> Column:
-    """A name without the legal forms it ends with, unless nothing else is in it. ``cut`` is ``without_forms`` of it, if that is a column already."""
+    """A name without the legal forms it ends with, unless nothing else is in it.
+
+    ``cut`` is ``without_forms`` of it, if that is a column already.
+    """
     cut = without_forms(normal) if cut is None else cut
     return F.when(cut == "", normal).otherwise(cut)
 
 
 def normal_country(cleaned: Column) -> Column:
     """A country's code where its name is known, else its cleaned name."""
-    codes = F.create_map(*[F.lit(x) for code, names in COUNTRY_NAMES.items() for name in names for x in (name, code)])
+    codes = F.create_map(*[F.lit(x) for pair in COUNTRY_CODES.items() for x in pair])
     bare = squeeze(F.regexp_replace(cleaned, r"""^[ .,;:\-_()\[\]'"]+|[ .,;:\-_()\[\]'"]+$""", ""))
-    return F.coalesce(F.try_element_at(codes, bare), F.try_element_at(codes, F.regexp_replace(bare, r"\.", "")), bare)
+    without_dots = F.replace(bare, F.lit("."), F.lit(""))
+    return F.coalesce(F.try_element_at(codes, bare), F.try_element_at(codes, without_dots), bare)
 
 
 def word_tokens(c: Column) -> Column:
@@ -124,7 +155,9 @@ def number_tokens(c: Column) -> Column:
 
 def trigrams(c: Column) -> Column:
     """Windows of three characters, each once; none of shorter text."""
-    return F.when(F.length(c) >= 3, F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 2, F.lit(1))), lambda i: F.substring(c, i, F.lit(3))))).otherwise(F.array().cast("array<string>"))
+    places = F.sequence(F.lit(1), F.greatest(F.length(c) - 2, F.lit(1)))
+    windows = F.array_distinct(F.transform(places, lambda i: F.substring(c, i, F.lit(3))))
+    return F.when(F.length(c) >= 3, windows).otherwise(F.array().cast("array<string>"))
 
 
 def target_source(c: Column, mode: str = "strict") -> Column:

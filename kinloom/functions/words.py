@@ -9,25 +9,25 @@ LEGAL_FORMS = (
     "gmbh", "ag", "sa", "sarl", "bv", "nv", "spa", "srl", "ab", "oy", "as", "co", "cie",
 )
 
-# Names of countries, by the code that stands for them.
-COUNTRY_NAMES = {
-    "us": ("united states", "united states of america", "usa", "u.s.", "u.s.a.", "us"),
-    "in": ("india", "ind", "in"),
-    "fr": ("france", "fra", "fr"),
-    "de": ("germany", "deutschland", "deu", "ger", "de"),
-    "gb": ("united kingdom", "great britain", "uk", "gbr", "gb"),
-    "ca": ("canada", "can", "ca"),
-    "au": ("australia", "aus", "au"),
-    "jp": ("japan", "jpn", "jp"),
-    "se": ("sweden", "sverige", "swe", "se"),
-    "sg": ("singapore", "sgp", "sg"),
-    "br": ("brazil", "brasil", "bra", "br"),
-    "it": ("italy", "italia", "ita", "it"),
-    "es": ("spain", "espana", "esp", "es"),
-    "nl": ("netherlands", "holland", "nld", "nl"),
-    "cn": ("china", "prc", "chn", "cn"),
-    "mx": ("mexico", "mex", "mx"),
-}
+# The code that each name of a country stands for.
+COUNTRY_CODES = {
+    "united states": "us", "united states of america": "us", "usa": "us", "u.s.": "us", "u.s.a.": "us", "us": "us",
+    "india": "in", "ind": "in", "in": "in",
+    "france": "fr", "fra": "fr", "fr": "fr",
+    "germany": "de", "deutschland": "de", "deu": "de", "ger": "de", "de": "de",
+    "united kingdom": "gb", "great britain": "gb", "uk": "gb", "gbr": "gb", "gb": "gb",
+    "canada": "ca", "can": "ca", "ca": "ca",
+    "australia": "au", "aus": "au", "au": "au",
+    "japan": "jp", "jpn": "jp", "jp": "jp",
+    "sweden": "se", "sverige": "se", "swe": "se", "se": "se",
+    "singapore": "sg", "sgp": "sg", "sg": "sg",
+    "brazil": "br", "brasil": "br", "bra": "br", "br": "br",
+    "italy": "it", "italia": "it", "ita": "it", "it": "it",
+    "spain": "es", "espana": "es", "esp": "es", "es": "es",
+    "netherlands": "nl", "holland": "nl", "nld": "nl", "nl": "nl",
+    "china": "cn", "prc": "cn", "chn": "cn", "cn": "cn",
+    "mexico": "mx", "mex": "mx", "mx": "mx",
+}
 
 # Address words too common to block on.
 ADDRESS_STOPWORDS = (

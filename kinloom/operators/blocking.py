@@ -112,14 +112,23 @@ def _with_bit(bit: int) -> Callable[[Column], Column]:
 
 def keys(records: DataFrame, s: Blocking | None = None) -> DataFrame:
     """entity_id, country, key, bit: every distinct key of each record, with the bit of its strategy in the settings' order."""
+    return keys_of(fields(records), s)
+
+
+def keys_of(rows: DataFrame, s: Blocking | None = None, extra: tuple[str, ...] = ()) -> DataFrame:
+    """``keys`` of entity_id, name, address, country as blocking reads them; columns named in ``extra`` are kept."""
     s = s or Blocking()
-    rows = fields(records).withColumns({"name_tokens": text.word_tokens(F.col("name")), "address_tokens": text.word_tokens(F.col("address"))})
+    rows = rows.withColumns({
+        "name_tokens": text.word_tokens(F.col("name")), "address_tokens": text.word_tokens(F.col("address")),
+    })
     arrays = []
     for bit, name in enumerate(s.strategies):
         made = STRATEGIES[name](s)
-        made = made if name in NAMELESS else F.when(F.col("name") != "", made).otherwise(F.array().cast("array<string>"))
+        if name not in NAMELESS:
+            made = F.when(F.col("name") != "", made).otherwise(F.array().cast("array<string>"))
         arrays.append(F.transform(F.array_distinct(made), _with_bit(1 << bit)))
-    return rows.select("entity_id", "country", F.explode(F.concat(*arrays)).alias("k")).select("entity_id", "country", "k.key", "k.bit")
+    spread = rows.select("entity_id", *extra, "country", F.explode(F.concat(*arrays)).alias("k"))
+    return spread.select("entity_id", *extra, "country", "k.key", "k.bit")
 
 
 def targets(s2: DataFrame, s3: DataFrame, first: int | None = None) -> DataFrame:
@@ -171,24 +180,54 @@ def strategy_names(mask: Column, s: Blocking) -> Column:
     return F.array_compact(F.array(*[F.when(mask.bitwiseAND(b) != 0, name) for name, b in named]))
 
 
-def pairs(s1: DataFrame, s2: DataFrame, s3: DataFrame, s: Blocking | None = None) -> DataFrame:
-    """s1, t, target_source, mask: pairs that share a key which isn't suppressed, and whose countries agree.
+def kept_index(index: DataFrame, s: Blocking | None = None) -> DataFrame:
+    """The key table of the targets without suppressed keys: no key of it has more rows than allowed."""
+    return index.join(suppressed(index, s).select("key"), "key", "left_anti")
+
+
+#: Records of source 1 that share a key and go to one task; more are dealt to several, each with the key's targets.
+HOT = 100_000
+
+
+def hot_keys(left: DataFrame) -> DataFrame:
+    """key, parts: keys that more records of source 1 have than one task should join."""
+    sizes = left.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT)
+    return sizes.select("key", F.ceil(F.col("n") / HOT).cast("int").alias("parts"))
+
 
-    Frequent keys are dropped from the index before the join, so one key makes at most so many pairs
-    for each record that has it; a key that very many records have is a skewed join partition, which
-    Spark splits.
+def match(left: DataFrame, index: DataFrame, s: Blocking | None = None, hot: DataFrame | None = None) -> DataFrame:
+    """s1, t, target_source, mask: pairs of ``keys`` of source 1 and a ``kept_index`` that share a key and whose countries agree.
+
+    One key makes at most as many pairs for each record that has it as the index may have rows of it. ``hot``
+    is the table of ``hot_keys`` of ``left``: their records are salted, and the few targets of such a key repeated.
     """
     s = s or Blocking()
-    index = target_keys(s2, s3, s)
-    kept = index.join(suppressed(index, s).select("key"), "key", "left_anti")
-    left = keys(s1, s).select(F.col("entity_id").alias("s1"), F.col("country").alias("c1"), "key", "bit")
-    right = kept.select("t", "target_source", F.col("country").alias("c2"), F.col("key").alias("key2"))
-    found = left.join(right, (F.col("key") == F.col("key2")) & agreement(F.col("c1"), F.col("c2"), s.country_agreement_mode))
+    a = left.select(F.col("entity_id").alias("s1"), F.col("country").alias("c1"), "key", "bit")
+    b = index.select("t", "target_source", F.col("country").alias("c2"), F.col("key").alias("key2"))
+    on = (F.col("key") == F.col("key2")) & agreement(F.col("c1"), F.col("c2"), s.country_agreement_mode)
+    if hot is not None:
+        parts = F.coalesce("parts", F.lit(1))
+        a = a.join(hot, "key", "left").withColumn("salt", F.pmod(F.xxhash64("s1"), parts).cast("int")).drop("parts")
+        b = b.join(hot.withColumnRenamed("key", "key2"), "key2", "left")
+        b = b.withColumn("salt2", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
+        on = on & (F.col("salt") == F.col("salt2"))
+    found = a.join(b, on)
     return found.groupBy("s1", "t").agg(F.max("target_source").alias("target_source"), F.bit_or("bit").alias("mask"))
 
 
+def pairs(s1: DataFrame, s2: DataFrame, s3: DataFrame, s: Blocking | None = None) -> DataFrame:
+    """``match`` of records; frequent keys are dropped from the index before rows meet."""
+    left = keys(s1, s)
+    return match(left, kept_index(target_keys(s2, s3, s), s), s)
+
+
+def as_candidates(found: DataFrame, s: Blocking | None = None) -> DataFrame:
+    """Pairs with the names of the strategies that found them, in order of the ids."""
+    names = strategy_names(F.col("mask"), s or Blocking()).alias("strategies")
+    rows = found.select(F.col("s1").alias("source1_entity_id"), F.col("t").alias("target_entity_id"), "target_source", names)
+    return rows.orderBy("source1_entity_id", "target_entity_id")
+
+
 def candidates(s1: DataFrame, s2: DataFrame, s3: DataFrame, s: Blocking | None = None) -> DataFrame:
     """Candidate pairs with the names of the strategies that found them, in order of the ids."""
-    s = s or Blocking()
-    found = pairs(s1, s2, s3, s)
-    return found.select(F.col("s1").alias("source1_entity_id"), F.col("t").alias("target_entity_id"), "target_source", strategy_names(F.col("mask"), s).alias("strategies")).orderBy("source1_entity_id", "target_entity_id")
+    return as_candidates(pairs(s1, s2, s3, s), s)

@@ -11,8 +11,12 @@ S1_ID, TARGET_ID = r"(?i)^s1[_-].+", r"(?i)^(s2|s3)[_-].+"
 
 
 def with_position(table: DataFrame) -> DataFrame:
-    """``table`` with ``position``, its order as read: files are ordered by name and not split by rows, so it is meant for one sorted file or folder."""
-    return table.withColumn("position", F.monotonically_increasing_id())
+    """``table`` with ``position``, its order as read: by file name, place in the file and row.
+
+    To be called on what was read, before anything that deals rows anew.
+    """
+    place = (F.input_file_name().alias("file"), F.input_file_block_start().alias("at"), F.monotonically_increasing_id().alias("row"))
+    return table.withColumn("position", F.struct(*place))
 
 
 def inversions(table: DataFrame) -> DataFrame:
@@ -21,7 +25,7 @@ def inversions(table: DataFrame) -> DataFrame:
     Rows are compared within runs of neighbouring positions; the last row of a run is handed to the
     next, so no task sees more than a run.
     """
-    run = F.floor(F.col("position") / 100_000)
+    run = F.struct("position.file", "position.at", F.floor(F.col("position.row") / 100_000).alias("part"))
     pair = F.struct("source1_entity_id", "target_entity_id")
     rows = table.select(run.alias("run"), "position", pair.alias("pair"))
     inside = rows.withColumn("before", F.lag("pair").over(Window.partitionBy("run").orderBy("position")))

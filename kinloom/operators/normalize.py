@@ -9,24 +9,46 @@ from ..functions import text
 from ..sources.tables import DERIVED_COLUMNS, NORMAL_COLUMNS, RECORD_COLUMNS, check_columns
 
 
-def normalize(records: DataFrame, compose: bool = True) -> DataFrame:
-    """Ten columns: the four of a record and six derived ones. A missing column is an error; others are dropped.
+def normalize(records: DataFrame, compose: bool = True, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Ten columns, the four of a record and six derived ones, and those named in ``extra``.
 
-    Each step is a projection of its own, so that what several columns derive from is computed once.
+    A missing column is an error; others are dropped. Each step is a projection of its own, so that what
+    several columns derive from is computed once.
     """
     missing, _ = check_columns(records, RECORD_COLUMNS)
     if missing:
         raise ValueError(f"missing columns: {missing}")
-    raw = records.select(*[text.filled(F.col(c)).alias(c) for c in RECORD_COLUMNS])
-    cleaned = raw.withColumns({"n0": text.clean(F.col("business_name"), compose), "a0": text.clean(F.col("business_address"), compose), "c0": text.clean(F.col("country"), compose)})
-    normal = cleaned.withColumns({"business_name_normalized": text.normal_name(F.col("n0")), "business_address_normalized": text.normal_address(F.col("a0")), "country_normalized": text.normal_country(F.col("c0"))})
-    # the alphanumeric forms are those of the normal form, which is cleaned and normalised once more for them
-    again = normal.withColumns({"n1": text.clean(F.col("business_name_normalized"), False), "a1": text.clean(F.col("business_address_normalized"), False), "cut": text.without_forms(F.col("business_name_normalized"))})
-    out = again.withColumns({
+    raw = records.select(*[text.filled(F.col(c)).alias(c) for c in RECORD_COLUMNS], *extra)
+    cleaned = raw.withColumns({
+        "n0": text.clean(F.col("business_name"), compose),
+        "a0": text.clean(F.col("business_address"), compose),
+        "c0": text.clean(F.col("country"), compose),
+    })
+    normal = cleaned.withColumns({
+        "business_name_normalized": text.normal_name(F.col("n0")),
+        "business_address_normalized": text.normal_address(F.col("a0")),
+        "country_normalized": text.normal_country(F.col("c0")),
+    }).withColumn("cut", text.without_forms(F.col("business_name_normalized")))
+    out = normal.withColumns({
         "business_name_core": text.name_core(F.col("business_name_normalized"), F.col("cut")),
-        "business_name_alnum": text.alnum(text.normal_name(F.col("n1"))), "business_address_alnum": text.alnum(text.normal_address(F.col("a1"))),
+        "business_name_alnum": text.alnum_name(F.col("business_name_normalized")),
+        "business_address_alnum": text.alnum_address(F.col("business_address_normalized")),
     })
-    return out.select(*NORMAL_COLUMNS)
+    return out.select(*NORMAL_COLUMNS, *extra)
+
+
+def stored_fields(normal: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """entity_id, name, address, country for blocking, of records that ``normalize`` made; see ``fields``.
+
+    A derived column that is blank stays so: what it derives from is blank too.
+    """
+    value = lambda c: text.strip(F.col(c))
+    name = F.when(text.is_blank(F.col("business_name_core")), value("business_name_alnum")).otherwise(value("business_name_core"))
+    rows = normal.select(
+        value("entity_id").alias("entity_id"), *extra, name.alias("name"),
+        value("business_address_alnum").alias("address"), value("country_normalized").alias("country"),
+    )
+    return rows.where("entity_id <> ''")
 
 
 def fields(records: DataFrame) -> DataFrame:

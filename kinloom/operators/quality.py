@@ -95,7 +95,7 @@ def validate_dataset(spark, root: str) -> dict:
                 ids = id_integrity(table).first().asDict()
                 errors += [f"{f}: {ids['missing_ids']} missing ids"] if ids["missing_ids"] else []
                 report["warnings"] += [f"{f}: {ids['duplicate_ids']} repeated ids"] if ids["duplicate_ids"] else []
-                report["files"][f] = ids | {"columns": [r.asDict() for r in column_quality(table).collect()], "countries": [r.asDict() for r in country_distribution(table).limit(1000).collect()]}
+                report["files"][f] = ids | {"columns": [r.asDict() for r in column_quality(table).collect()], "countries": [r.asDict() for r in country_distribution(table).toLocalIterator()]}
         if not errors:
             train = {k.rsplit("source", 1)[-1][:1]: t for k, t in tables.items() if k.startswith("train/") and "source" in k}
             stats = truth_quality(tables["train/train_ground_truth.tsv"], train["1"], train["2"].unionByName(train["3"])).first().asDict()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ..functions.words import ADDRESS_STOPWORDS, COUNTRY_NAMES, LEGAL_FORMS, NAME_STOPWORDS, NULL_CELLS, NULL_WORDS
+from ..functions.words import ADDRESS_STOPWORDS, COUNTRY_CODES, LEGAL_FORMS, NAME_STOPWORDS, NULL_CELLS, NULL_WORDS
 
 W = r"[\p{L}\p{N}_]"
 NOT_W = r"[^\p{L}\p{N}_]"
@@ -64,7 +64,7 @@ def core(x: str) -> str:
 
 def country(x: str) -> str:
     bare = squeeze(sub(x, r"""^[ .,;:\-_()\[\]'"]+|[ .,;:\-_()\[\]'"]+$""", ""))
-    code = lambda y: "CASE " + " ".join(f"WHEN {y} IN ({quoted(n)}) THEN '{c}'" for c, n in COUNTRY_NAMES.items()) + " END"
+    code = lambda y: "CASE " + " ".join(f"WHEN {y} = '{n}' THEN '{c}'" for n, c in COUNTRY_CODES.items()) + " END"
     nodots = f"replace(b, '.', '')"
     return f"(SELECT coalesce({code('b')}, {code(nodots)}, b) FROM (SELECT {bare} AS b))"
 
@@ -77,6 +77,11 @@ def kind(x: str) -> str:
     return f"CASE WHEN {x} IS NULL OR {x} IN ({quoted(NULL_CELLS)}) THEN 'null' WHEN {x} = '' THEN 'empty' WHEN {sub(x, f'^{SPACE}+|{SPACE}+$', '')} = '' THEN 'whitespace' ELSE 'valid' END"
 
 
+def rank(*parts: str, seed: int = 42) -> str:
+    """The number that seed and parts decide."""
+    return f"('0x' || substr(md5('{seed}|' || {" || '|' || ".join(parts)}), 1, 15))::BIGINT"
+
+
 RECORDS = r"""
 records AS MATERIALIZED (
   SELECT 's' || (doc_id % 3 + 1) || '_' || doc_id AS entity_id, regexp_extract(text, '^([^\n]*)', 1) AS business_name,
@@ -87,24 +92,27 @@ NORMAL = f""",
 cleaned AS MATERIALIZED (SELECT *, {clean('business_name')} AS n0, {clean('business_address')} AS a0, {clean('country')} AS c0 FROM records),
 named AS MATERIALIZED (SELECT *, {name('n0')} AS n, {address('a0')} AS a, {country('c0')} AS c FROM cleaned),
 normal AS MATERIALIZED (SELECT *, {core('n')} AS core, {alnum(name(clean('n')))} AS an, {alnum(address(clean('a')))} AS aa FROM named)"""
-TRUTH = """,
-lists AS (SELECT text, concat_ws(',', min(CASE WHEN source = 2 THEN entity_id END), min(CASE WHEN source = 3 THEN entity_id END)) AS ids FROM records WHERE source > 1 GROUP BY text),
-truth AS MATERIALIZED (SELECT r.entity_id AS source1_entity_id, coalesce(l.ids, '') AS matched_entity_ids FROM records r LEFT JOIN lists l USING (text) WHERE r.source = 1),
-edges AS MATERIALIZED (SELECT DISTINCT source1_entity_id AS s1, t, CASE WHEN t LIKE 's2%' THEN 'Source 2' ELSE 'Source 3' END AS target_source
-  FROM (SELECT source1_entity_id, unnest(string_split(matched_entity_ids, ',')) AS t FROM truth WHERE matched_entity_ids <> ''))"""
+TRUTH = f""",
+sized AS (SELECT text, ceil(count(*) / 500.0)::BIGINT AS n FROM records WHERE source > 1 AND text IS NOT NULL GROUP BY text),
+lists AS (SELECT r.text, string_agg(entity_id, ',' ORDER BY entity_id) AS ids FROM records r JOIN sized USING (text)
+  WHERE source > 1 GROUP BY r.text, {rank('entity_id')} % n),
+truth AS MATERIALIZED (SELECT r.entity_id AS source1_entity_id, coalesce(l.ids, '') AS matched_entity_ids
+  FROM records r LEFT JOIN lists l USING (text) WHERE r.source = 1),
+edges AS MATERIALIZED (SELECT a.entity_id AS s1, b.entity_id AS t, 'Source ' || b.source AS target_source
+  FROM records a JOIN records b USING (text) WHERE a.source = 1 AND b.source > 1),
+deg AS (SELECT r.entity_id AS s1, count(e.t) AS m FROM records r LEFT JOIN edges e ON e.s1 = r.entity_id WHERE r.source = 1 GROUP BY ALL)"""
 #: Strategies and their bits, in the settings' order.
 BITS = {"exact_name": 1, "name_token": 2, "name_prefix": 4, "address_conservative": 8, "country_scoped_name": 16}
 
 
 def key_tables() -> str:
-    """For blocking, names come from the alphanumeric form: name and its core of raw columns."""
+    """For blocking, a name is the core, or the alphanumeric name where that is blank."""
     words = lambda x: f"regexp_extract_all({x}, '{W}+')"
     d = lambda x: rf"regexp_full_match({x}, '\p{{Nd}}+')"
     good = f"t NOT IN ({quoted(NAME_STOPWORDS)})"
     beside = "(CASE WHEN i < len(ws) THEN ws[i + 1] ELSE ws[i - 1] END)"
     return f""",
-fields0 AS MATERIALIZED (SELECT entity_id, source, c AS country, {alnum('n')} AS alnum_name, aa AS address FROM normal),
-fields1 AS MATERIALIZED (SELECT entity_id, source, country, address, CASE WHEN {core('alnum_name')} = '' THEN alnum_name ELSE {core('alnum_name')} END AS name FROM fields0),
+fields1 AS MATERIALIZED (SELECT entity_id, source, c AS country, aa AS address, CASE WHEN {blank('core')} THEN an ELSE core END AS name FROM normal),
 fields AS MATERIALIZED (SELECT *, {words('name')} AS nw, {words('address')} AS ws FROM fields1),
 name_words AS MATERIALIZED (SELECT DISTINCT entity_id, source, country, unnest(nw) AS t FROM fields),
 address_words AS MATERIALIZED (SELECT entity_id, source, country, ws, unnest(range(1, len(ws) + 1)) AS i FROM fields),
@@ -131,6 +139,36 @@ flagged AS MATERIALIZED (SELECT e.*, p.s1 IS NOT NULL AS hit FROM edges e LEFT J
 per AS MATERIALIZED (SELECT r.entity_id AS s1, count(p.t) AS n FROM records r LEFT JOIN pairs p ON p.s1 = r.entity_id WHERE r.source = 1 GROUP BY ALL)"""
 
 
+def training_tables(per: int = 2, ratio: float = 0.5) -> str:
+    """Negatives: ``per`` for each true pair, a share of them from blocking and from the same country."""
+    return f""",
+needs AS MATERIALIZED (SELECT s1, (count(*) * {per})::INT AS need FROM edges GROUP BY s1),
+pool AS MATERIALIZED (SELECT entity_id AS t, country FROM fields WHERE source > 1),
+places AS (SELECT t, country AS c, {rank('t')} AS h FROM pool WHERE country <> ''),
+pieces AS MATERIALIZED (SELECT c, ceil(count(*) / 1000.0)::BIGINT AS pieces FROM places GROUP BY c),
+ring AS MATERIALIZED (SELECT c, h % pieces AS piece, row_number() OVER (PARTITION BY c, h % pieces ORDER BY h, t) - 1 AS place, t
+  FROM places JOIN pieces USING (c)),
+rings AS (SELECT c, piece, count(*) AS n FROM ring GROUP BY ALL),
+asks AS (SELECT s1, z.c, {rank('s1')} % pieces AS piece FROM needs JOIN fields f ON f.entity_id = s1 JOIN pieces z ON z.c = f.country),
+steps AS (SELECT s1, c, piece, n, {rank("'ring'", 's1')} % n AS beginning, unnest(range(0, least(n, 50))) AS i FROM asks JOIN rings USING (c, piece)),
+near AS (SELECT s1, t FROM steps a JOIN ring r ON r.c = a.c AND r.piece = a.piece AND r.place = (beginning + i) % n),
+size AS (SELECT greatest(1, ceil(count(DISTINCT t) / 1000.0))::BIGINT AS buckets FROM pool),
+dealt AS MATERIALIZED (SELECT bucket, row_number() OVER (PARTITION BY bucket ORDER BY h, t) - 1 AS place, t
+  FROM (SELECT t, {rank('t')} AS h, {rank('t')} % buckets AS bucket FROM (SELECT DISTINCT t FROM pool), size)),
+draws AS (SELECT s1, draw, {rank("'bucket'", 's1', 'draw')} % buckets AS bucket FROM (SELECT s1, unnest(range(1, need * 4 + 9)) AS draw FROM needs), size),
+drawn AS (SELECT s1, t, draw FROM (SELECT s1, draw, d.bucket, {rank("'place'", 's1', 'draw')} % n AS place
+  FROM draws d JOIN (SELECT bucket, count(*) AS n FROM dealt GROUP BY bucket) z ON z.bucket = d.bucket) x JOIN dealt USING (bucket, place)),
+choices AS (SELECT s1, t, {rank('s1', 't')} AS r, NULL AS draw FROM (SELECT s1, t FROM pairs UNION ALL SELECT s1, t FROM near) UNION ALL SELECT s1, t, NULL, draw FROM drawn),
+each AS (SELECT s1, t, min(r) AS r, min(draw) AS draw FROM choices GROUP BY ALL),
+wanted AS (SELECT e.*, need FROM each e JOIN needs USING (s1) ANTI JOIN edges x ON x.s1 = e.s1 AND x.t = e.t),
+hardened AS (SELECT *, r IS NOT NULL AND row_number() OVER (PARTITION BY s1 ORDER BY r NULLS LAST, t) <= floor(need * {ratio}) AS hard FROM wanted),
+ordered AS (SELECT *, need - count(*) FILTER (hard) OVER (PARTITION BY s1) AS remaining,
+  row_number() OVER (PARTITION BY s1 ORDER BY CASE WHEN NOT hard THEN draw END NULLS LAST, t) AS k FROM hardened),
+training AS MATERIALIZED (SELECT s1 AS source1_entity_id, t AS target_entity_id, target_source, 1 AS label, 'positive' AS pair_type FROM edges
+  UNION ALL SELECT s1, t, CASE WHEN t LIKE 's2%' THEN 'Source 2' ELSE 'Source 3' END, 0, CASE WHEN hard THEN 'hard_negative' ELSE 'random_negative' END
+  FROM ordered WHERE hard OR (draw IS NOT NULL AND k <= remaining))"""
+
+
 def names_of(mask: str = "mask") -> str:
     return "concat_ws(',', " + ", ".join(f"CASE WHEN {mask} & {BITS[k]} <> 0 THEN '{k}' END" for k in sorted(BITS)) + ")"
 

@@ -1,4 +1,4 @@
-"""Queries over the driver's tables, one for each operator of the library, and their SQL."""
+"""Queries over the driver's tables, one for each operator of the library, and their SQL. All with production settings."""
 
 from __future__ import annotations
 
@@ -9,170 +9,181 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import blocking, candidates, features, normalize, pairs, quality, recall, truth
+from ..sources.shared import spread
+from ..sources.tables import NORMAL_COLUMNS
 from . import adapters, oracle as o
 
-#: A posting list of a driver table may be so long; whole texts are records, so words are common.
-MOST = 20
-SETTINGS = blocking.Blocking(max_posting_list_size=MOST)
-#: The operator's own settings: what the queries without SQL run with.
-WHOLE = blocking.Blocking()
+SETTINGS = blocking.Blocking()
+MOST = SETTINGS.max_posting_list_size
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
-def query(sql: str | None = None, name: str | None = None):
+def query(sql: str, name: str | None = None):
     def add(f):
         QUERIES[name or f.__name__] = f
-        if sql:
-            ORACLE_SQL[name or f.__name__] = sql
+        ORACLE_SQL[name or f.__name__] = sql
         return f
 
     return add
 
 
-def _settings(whole):
-    return WHOLE if whole else SETTINGS
-
-
-def _truth(spark, sf_dir):
-    return adapters.truth(spark, sf_dir)
-
-
-def _edges(spark, sf_dir, whole=False):
-    return adapters.matches(spark, sf_dir) if whole else truth.edges(_truth(spark, sf_dir))
-
-
-def _pairs(spark, sf_dir, settings=SETTINGS):
-    return blocking.pairs(*adapters.sources(spark, sf_dir), settings)
-
-
 def _targets(spark, sf_dir):
     _, s2, s3 = adapters.sources(spark, sf_dir)
     return s2.unionByName(s3)
 
 
-def _normal(spark, sf_dir):
-    return normalize.normalize(adapters.all_records(spark, sf_dir))
-
-
 # -- records ------------------------------------------------------------------------------------
 
 _RAW = o.base()
 _NORMAL = o.base(o.NORMAL)
+_DERIVED = {
+    "business_name_normalized": "n", "business_name_core": "core", "business_name_alnum": "an",
+    "business_address_normalized": "a", "business_address_alnum": "aa", "country_normalized": "c",
+}
 
 
-@query(_NORMAL + "SELECT entity_id, business_name, n AS business_name_normalized, core AS business_name_core, an AS business_name_alnum, business_address, a AS business_address_normalized, aa AS business_address_alnum, country, c AS country_normalized FROM normal")
+@query(_NORMAL + "SELECT " + ", ".join(f"{_DERIVED.get(c, c)} AS {c}" for c in NORMAL_COLUMNS) + " FROM normal")
 def normalized_records(spark, sf_dir):
-    return _normal(spark, sf_dir)
+    return adapters.normal(spark, sf_dir).select(*NORMAL_COLUMNS)
 
 
 @query(
-    _NORMAL + rf"""SELECT entity_id, list_sort(list_distinct(regexp_extract_all(aa, '{o.W}+')))::VARCHAR AS words, len(list_distinct(list_filter(string_split(a, ' '), lambda y: y <> ''))) AS blank_tokens,
-    len(list_distinct(list_filter(regexp_extract_all(a, '{o.W}+'), lambda y: regexp_full_match(y, '\p{{Nd}}+')))) AS numbers, CASE WHEN length(n) >= 3 THEN len(list_distinct(list_transform(range(1, length(n) - 1), lambda i: substr(n, i, 3)))) ELSE 0 END AS trigrams FROM normal"""
+    _NORMAL + rf"""SELECT entity_id, list_sort(list_distinct(regexp_extract_all(aa, '{o.W}+')))::VARCHAR AS words,
+    len(list_distinct(list_filter(string_split(a, ' '), lambda y: y <> ''))) AS blank_tokens,
+    len(list_distinct(list_filter(regexp_extract_all(a, '{o.W}+'), lambda y: regexp_full_match(y, '\p{{Nd}}+')))) AS numbers,
+    CASE WHEN length(n) >= 3 THEN len(list_distinct(list_transform(range(1, length(n) - 1), lambda i: substr(n, i, 3)))) ELSE 0 END AS trigrams
+    FROM normal"""
 )
 def record_tokens(spark, sf_dir):
     words = F.array_sort(F.array_distinct(text.word_tokens(F.col("business_address_alnum"))))
     n = lambda c: F.size(c).cast("long")
-    return _normal(spark, sf_dir).select("entity_id", F.concat(F.lit("["), F.array_join(words, ", "), F.lit("]")).alias("words"), n(text.blank_tokens(F.col("business_address_normalized"))).alias("blank_tokens"), n(text.number_tokens(F.col("business_address_normalized"))).alias("numbers"), n(text.trigrams(F.col("business_name_normalized"))).alias("trigrams"))
+    address = F.col("business_address_normalized")
+    return adapters.normal(spark, sf_dir).select(
+        "entity_id", F.concat(F.lit("["), F.array_join(words, ", "), F.lit("]")).alias("words"),
+        n(text.blank_tokens(address)).alias("blank_tokens"), n(text.number_tokens(address)).alias("numbers"),
+        n(text.trigrams(F.col("business_name_normalized"))).alias("trigrams"),
+    )
 
 
 def _quality_sql():
-    cells = " UNION ALL ".join(f"SELECT '{c}' AS col, {o.kind(c)} AS k FROM records" for c in ("entity_id", "business_name", "business_address", "country"))
-    return f"SELECT col AS \"column\", count(*) FILTER (k = 'null') AS null_count, count(*) FILTER (k = 'empty') AS empty_count, count(*) FILTER (k = 'whitespace') AS whitespace_count, count(*) FILTER (k = 'valid') AS valid_count, count(*) FILTER (k <> 'valid') AS missing_count FROM ({cells}) GROUP BY col"
+    columns = ("entity_id", "business_name", "business_address", "country")
+    cells = " UNION ALL ".join(f"SELECT '{c}' AS col, {o.kind(c)} AS k FROM records" for c in columns)
+    counts = ", ".join(f"count(*) FILTER (k = '{k}') AS {k}_count" for k in quality.KINDS)
+    return f"SELECT col AS \"column\", {counts}, count(*) FILTER (k <> 'valid') AS missing_count FROM ({cells}) GROUP BY col"
 
 
 @query(_RAW + _quality_sql())
 def column_quality(spark, sf_dir):
-    return quality.column_quality(adapters.all_records(spark, sf_dir))
+    return quality.column_quality(adapters.all_records(spark, sf_dir, dealt=True))
 
 
-@query(_RAW + f"SELECT count(*) AS row_count, count(DISTINCT entity_id) AS unique_ids, count(*) FILTER ({o.kind('entity_id')} = 'valid') - count(DISTINCT entity_id) AS duplicate_ids, count(*) FILTER ({o.kind('entity_id')} <> 'valid') AS missing_ids FROM records")
+@query(
+    _RAW + f"""SELECT count(*) AS row_count, count(DISTINCT entity_id) AS unique_ids,
+    count(*) FILTER ({o.kind('entity_id')} = 'valid') - count(DISTINCT entity_id) AS duplicate_ids,
+    count(*) FILTER ({o.kind('entity_id')} <> 'valid') AS missing_ids FROM records"""
+)
 def id_integrity(spark, sf_dir):
     return quality.id_integrity(adapters.all_records(spark, sf_dir))
 
 
-@query(_RAW + f"SELECT CASE WHEN {o.kind('country')} = 'valid' THEN country ELSE '<MISSING>' END AS country, count(*) AS row_count, count(*) * 100.0::DOUBLE / (SELECT count(*) FROM records) AS percentage FROM records GROUP BY 1")
+@query(
+    _RAW + f"""SELECT CASE WHEN {o.kind('country')} = 'valid' THEN country ELSE '<MISSING>' END AS country, count(*) AS row_count,
+    count(*) * 100.0::DOUBLE / (SELECT count(*) FROM records) AS percentage FROM records GROUP BY 1"""
+)
 def country_distribution(spark, sf_dir):
     return quality.country_distribution(adapters.all_records(spark, sf_dir))
 
 
-@query(
-    _RAW
-    + " UNION ALL ".join(
-        f"SELECT 'source{k}' AS table_name, count(*) AS row_count, count(DISTINCT entity_id) AS unique_ids, count(*) - count(DISTINCT entity_id) AS duplicate_ids, 0::BIGINT AS missing_ids, "
-        f"sum(({o.kind('business_name')} <> 'valid')::INT + ({o.kind('business_address')} <> 'valid')::INT + ({o.kind('country')} <> 'valid')::INT)::BIGINT AS missing_cells, 'PASS' AS status FROM records WHERE source = {k}"
-        for k in (1, 2, 3)
-    )
-)
+def _summary_sql(k):
+    missing = " + ".join(f"({o.kind(c)} <> 'valid')::INT" for c in ("business_name", "business_address", "country"))
+    return f"""SELECT 'source{k}' AS table_name, count(*) AS row_count, count(DISTINCT entity_id) AS unique_ids,
+    count(*) - count(DISTINCT entity_id) AS duplicate_ids, 0::BIGINT AS missing_ids, sum({missing})::BIGINT AS missing_cells, 'PASS' AS status
+    FROM records WHERE source = {k}"""
+
+
+@query(_RAW + " UNION ALL ".join(map(_summary_sql, (1, 2, 3))))
 def dataset_summary(spark, sf_dir):
     return quality.dataset_summary({f"source{k}": r for k, r in enumerate(adapters.sources(spark, sf_dir), 1)})
 
 
-_DERIVED = (("business_name_normalized", "n"), ("business_name_core", "core"), ("business_name_alnum", "an"), ("business_address_normalized", "a"), ("business_address_alnum", "aa"), ("country_normalized", "c"))
+def _lengths_sql(k, c):
+    return f"""count(*) FILTER ({o.blank(c)}) AS {k}_blank_after, min(length({c}))::INT AS {k}_min_length,
+    max(length({c}))::INT AS {k}_max_length, avg(length({c})) AS {k}_mean_length"""
 
 
 @query(
     _NORMAL
     + "SELECT count(*) AS rows_before, count(*) AS rows_after, count(DISTINCT entity_id) AS distinct_ids, 'PASS' AS status, "
     + ", ".join(f"count(*) FILTER ({o.blank(c)}) AS {c}_blank_before" for c in ("business_name", "business_address", "country"))
-    + ", "
-    + ", ".join(f"count(*) FILTER ({o.blank(c)}) AS {k}_blank_after, min(length({c}))::INT AS {k}_min_length, max(length({c}))::INT AS {k}_max_length, avg(length({c})) AS {k}_mean_length" for k, c in _DERIVED)
-    + " FROM normal"
-)
+    + ", " + ", ".join(_lengths_sql(k, c) for k, c in _DERIVED.items()) + " FROM normal"
+)
 def normalization_summary(spark, sf_dir):
-    return normalize.summary(adapters.all_records(spark, sf_dir), _normal(spark, sf_dir))
+    return normalize.summary(adapters.all_records(spark, sf_dir), adapters.normal(spark, sf_dir))
 
 
 # -- truth --------------------------------------------------------------------------------------
 
 _TRUTH = o.base(o.TRUTH)
-_DEG = ", deg AS (SELECT source1_entity_id AS s1, CASE WHEN matched_entity_ids = '' THEN 0 ELSE len(string_split(matched_entity_ids, ',')) END AS m FROM truth)"
 
 
 @query(
     _TRUTH
-    + """SELECT count(*) AS row_count, count(*) FILTER (matched_entity_ids = '') AS empty_match_count, count(*) FILTER (matched_entity_ids <> '') AS non_empty_match_count, 0::BIGINT AS missing_source1_id_count, 0::BIGINT AS malformed_reference_count,
-    0::BIGINT AS duplicate_in_match_list_count, count(*) FILTER (source1_entity_id NOT IN (SELECT entity_id FROM records WHERE source = 1)) AS invalid_source1_reference_count, (SELECT count(*) FROM edges WHERE t NOT IN (SELECT entity_id FROM records WHERE source > 1)) AS invalid_match_reference_count FROM truth"""
+    + """SELECT count(*) AS row_count, count(*) FILTER (matched_entity_ids = '') AS empty_match_count,
+    count(*) FILTER (matched_entity_ids <> '') AS non_empty_match_count, 0::BIGINT AS missing_source1_id_count,
+    0::BIGINT AS malformed_reference_count, 0::BIGINT AS duplicate_in_match_list_count,
+    count(*) FILTER (source1_entity_id NOT IN (SELECT entity_id FROM records WHERE source = 1)) AS invalid_source1_reference_count,
+    (SELECT count(*) FROM edges WHERE t NOT IN (SELECT entity_id FROM records WHERE source > 1)) AS invalid_match_reference_count FROM truth"""
 )
 def truth_quality(spark, sf_dir):
     s1, _, _ = adapters.sources(spark, sf_dir)
-    return quality.truth_quality(_truth(spark, sf_dir), s1, _targets(spark, sf_dir))
+    return quality.truth_quality(adapters.truth(spark, sf_dir), s1, _targets(spark, sf_dir))
 
 
-@query(_TRUTH + "SELECT 'source1' AS side, source1_entity_id AS id, count(*) AS n FROM truth WHERE source1_entity_id NOT IN (SELECT entity_id FROM records WHERE source = 2) GROUP BY ALL UNION ALL SELECT 'target', t, count(*) FROM edges WHERE t NOT IN (SELECT entity_id FROM records WHERE source = 2) GROUP BY ALL")
+@query(
+    _TRUTH
+    + """SELECT 'source1' AS side, source1_entity_id AS id, count(*) AS n FROM truth
+    WHERE source1_entity_id NOT IN (SELECT entity_id FROM records WHERE source = 2) GROUP BY ALL
+    UNION ALL SELECT 'target', t, count(*) FROM edges WHERE t NOT IN (SELECT entity_id FROM records WHERE source = 2) GROUP BY ALL"""
+)
 def unknown_references(spark, sf_dir):
     """References that source 2 alone does not have."""
     _, s2, _ = adapters.sources(spark, sf_dir)
-    return quality.unknown_references(_truth(spark, sf_dir), s2, s2)
+    return quality.unknown_references(adapters.truth(spark, sf_dir), s2, s2)
 
 
 @query(_TRUTH + "SELECT * FROM edges")
-def truth_edges(spark, sf_dir, whole=False):
-    return _edges(spark, sf_dir, whole)
+def truth_edges(spark, sf_dir):
+    return truth.edges(adapters.truth(spark, sf_dir))
+
 
+@query(_TRUTH + " SELECT m::BIGINT AS matches, count(*) AS n, count(*) * 100.0::DOUBLE / (SELECT count(*) FROM deg) AS percentage FROM deg GROUP BY m")
+def truth_cardinality(spark, sf_dir):
+    return truth.cardinality_of_classes(adapters.classes(spark, sf_dir))
 
-@query(_TRUTH + _DEG.replace(", deg AS", ", deg AS", 1) + " SELECT m::BIGINT AS matches, count(*) AS n, count(*) * 100.0::DOUBLE / (SELECT count(*) FROM deg) AS percentage FROM deg GROUP BY m")
-def truth_cardinality(spark, sf_dir, whole=False):
-    if whole:
-        return truth.cardinality_of_classes(adapters.classes(spark, sf_dir))
-    return truth.cardinality(_truth(spark, sf_dir))
+
+def _of_source(k):
+    return f"(SELECT count(*) FROM edges WHERE target_source = 'Source {k}') AS s{k}_references, (SELECT count(DISTINCT t) FROM edges WHERE target_source = 'Source {k}') AS s{k}_targets"
 
 
 @query(
-    _TRUTH + _DEG
-    + """ SELECT count(*) AS row_count, count(DISTINCT s1) AS unique_source1, sum(m)::BIGINT AS positive_pairs, count(*) FILTER (m = 0) AS zero_match, count(*) FILTER (m = 1) AS one_match, count(*) FILTER (m > 1) AS multi_match, max(m)::BIGINT AS max_matches,
-    0::BIGINT AS missing_source1, 0::BIGINT AS duplicates_in_rows, (SELECT count(*) FROM edges WHERE target_source = 'Source 2') AS s2_references, (SELECT count(*) FROM edges WHERE target_source = 'Source 3') AS s3_references, 0::BIGINT AS unknown_references,
-    (SELECT count(DISTINCT t) FROM edges WHERE target_source = 'Source 2') AS s2_targets, (SELECT count(DISTINCT t) FROM edges WHERE target_source = 'Source 3') AS s3_targets, 0::BIGINT AS repeated_pairs, 0::BIGINT AS duplicate_source1_rows FROM deg"""
+    _TRUTH
+    + f""" SELECT count(*) AS row_count, count(DISTINCT s1) AS unique_source1, sum(m)::BIGINT AS positive_pairs,
+    count(*) FILTER (m = 0) AS zero_match, count(*) FILTER (m = 1) AS one_match, count(*) FILTER (m > 1) AS multi_match,
+    max(m)::BIGINT AS max_matches, 0::BIGINT AS missing_source1, 0::BIGINT AS duplicates_in_rows, {_of_source(2)}, {_of_source(3)},
+    0::BIGINT AS unknown_references, 0::BIGINT AS repeated_pairs, 0::BIGINT AS duplicate_source1_rows FROM deg"""
 )
-def truth_profile(spark, sf_dir, whole=False):
-    if whole:
-        return truth.profile_of_classes(adapters.classes(spark, sf_dir))
-    return truth.profile(_truth(spark, sf_dir))
+def truth_profile(spark, sf_dir):
+    return truth.profile_of_classes(adapters.classes(spark, sf_dir))
 
 
-@query(_TRUTH + "SELECT * FROM (SELECT 'positive' AS kind, s1, t FROM edges ORDER BY s1, t LIMIT 10) UNION ALL SELECT * FROM (SELECT 'zero_match', source1_entity_id, '' FROM truth WHERE matched_entity_ids = '' ORDER BY 2 LIMIT 10)")
+@query(
+    _TRUTH
+    + """SELECT * FROM (SELECT 'positive' AS kind, s1, t FROM edges ORDER BY s1, t LIMIT 10)
+    UNION ALL SELECT * FROM (SELECT 'zero_match', source1_entity_id, '' FROM truth WHERE matched_entity_ids = '' ORDER BY 2 LIMIT 10)"""
+)
 def truth_samples(spark, sf_dir):
-    return truth.samples(_truth(spark, sf_dir))
+    return truth.samples(adapters.truth(spark, sf_dir))
 
 
 # -- blocking -----------------------------------------------------------------------------------
@@ -180,13 +191,9 @@ def truth_samples(spark, sf_dir):
 _KEYS = o.base(o.NORMAL, o.key_tables())
 
 
-def _index(spark, sf_dir, whole=False):
-    _, s2, s3 = adapters.sources(spark, sf_dir)
-    return blocking.target_keys(s2, s3, _settings(whole))
-
-
 def _keys_of(name, spark, sf_dir):
-    return blocking.keys(adapters.all_records(spark, sf_dir), replace(SETTINGS, strategies=blocking.strategies_of(name, SETTINGS))).select("entity_id", "key")
+    settings = replace(SETTINGS, strategies=blocking.strategies_of(name, SETTINGS))
+    return blocking.keys_of(adapters.fields(spark, sf_dir), settings).select("entity_id", "key")
 
 
 for _name, _bit in o.BITS.items():
@@ -195,25 +202,29 @@ for _name, _bit in o.BITS.items():
 
 @query(_KEYS + "SELECT entity_id, country, key, bit FROM keys")
 def keys_composite(spark, sf_dir):
-    return blocking.keys(adapters.all_records(spark, sf_dir), SETTINGS)
+    return adapters.keys(spark, sf_dir).drop("source")
 
 
 _INDEX = o.base(o.NORMAL, o.key_tables()) + ", sizes AS (SELECT key, bit, count(*) AS size FROM keys WHERE source > 1 GROUP BY key, bit) "
 
 
-@query(_INDEX + f"SELECT count(*) FILTER (size <= {MOST}) AS active_keys, count(*) FILTER (size > {MOST}) AS suppressed_keys, sum(size) FILTER (size <= {MOST})::BIGINT AS postings, avg(size) FILTER (size <= {MOST}) AS mean_postings, max(size) AS largest FROM sizes")
-def posting_stats(spark, sf_dir, whole=False):
-    return blocking.posting_stats(_index(spark, sf_dir, whole), _settings(whole))
+@query(
+    _INDEX
+    + f"""SELECT count(*) FILTER (size <= {MOST}) AS active_keys, count(*) FILTER (size > {MOST}) AS suppressed_keys,
+    coalesce(sum(size) FILTER (size <= {MOST}), 0)::BIGINT AS postings, avg(size) FILTER (size <= {MOST}) AS mean_postings, max(size) AS largest FROM sizes"""
+)
+def posting_stats(spark, sf_dir):
+    return blocking.posting_stats(adapters.index(spark, sf_dir), SETTINGS)
 
 
 @query(_INDEX + f"SELECT key, bit, size FROM sizes WHERE size > {MOST}")
-def suppressed_keys(spark, sf_dir, whole=False):
-    return blocking.suppressed(_index(spark, sf_dir, whole), _settings(whole))
+def suppressed_keys(spark, sf_dir):
+    return blocking.suppressed(adapters.index(spark, sf_dir), SETTINGS)
 
 
 @query(_INDEX + f"SELECT key, size FROM sizes WHERE size > {MOST} ORDER BY size DESC, key LIMIT 10")
-def top_suppressed_keys(spark, sf_dir, whole=False):
-    return blocking.suppressed(_index(spark, sf_dir, whole), _settings(whole)).select("key", "size").orderBy(F.desc("size"), "key").limit(10)
+def top_suppressed_keys(spark, sf_dir):
+    return blocking.suppressed(adapters.index(spark, sf_dir), SETTINGS).select("key", "size").orderBy(F.desc("size"), "key").limit(10)
 
 
 def _pair_sql(mode="allow_missing", *more):
@@ -223,9 +234,8 @@ def _pair_sql(mode="allow_missing", *more):
 _CANDIDATES = f"SELECT s1 AS source1_entity_id, t AS target_entity_id, target_source, {o.names_of()} AS strategies FROM pairs"
 
 
-def _candidates(mode, spark, sf_dir, whole=False):
-    found = blocking.candidates(*adapters.sources(spark, sf_dir), replace(_settings(whole), country_agreement_mode=mode))
-    return found.withColumn("strategies", F.array_join("strategies", ","))
+def _candidates(mode, spark, sf_dir):
+    return blocking.as_candidates(adapters.found(spark, sf_dir, mode)).withColumn("strategies", F.array_join("strategies", ","))
 
 
 for _mode in ("allow_missing", "strict", "none"):
@@ -233,8 +243,15 @@ for _mode in ("allow_missing", "strict", "none"):
 
 
 @query(_pair_sql() + "SELECT s1, t FROM pairs WHERE mask & 1 <> 0")
-def candidates_exact_name(spark, sf_dir, whole=False):
-    return _pairs(spark, sf_dir, replace(_settings(whole), strategies=("exact_name",))).select("s1", "t")
+def candidates_exact_name(spark, sf_dir):
+    """One strategy alone, from its own keys."""
+    settings = replace(SETTINGS, strategies=("exact_name",))
+    rows = adapters.fields(spark, sf_dir)
+    left = blocking.keys_of(rows.where("source = 1"), settings)
+    name = F.concat(F.lit("Source "), F.col("source").cast("string")).alias("target_source")
+    index = blocking.keys_of(rows.where("source > 1"), settings, ("source",))
+    index = index.select(F.col("entity_id").alias("t"), name, "country", "key", "bit")
+    return blocking.match(left, blocking.kept_index(index, settings), settings).select("s1", "t")
 
 
 # -- what blocking finds --------------------------------------------------------------------------
@@ -242,47 +259,63 @@ def candidates_exact_name(spark, sf_dir, whole=False):
 _SPACE = "(SELECT count(*) FROM records WHERE source = 1) * (SELECT count(*) FROM records WHERE source > 1)"
 
 
+def _found(spark, sf_dir):
+    return adapters.found(spark, sf_dir)
+
+
 @query(
     _pair_sql()
-    + f"""SELECT count(*) AS true_pairs, count(*) FILTER (hit) AS recovered, count(*) FILTER (NOT hit) AS missed, CASE WHEN count(*) > 0 THEN count(*) FILTER (hit)::DOUBLE / count(*) ELSE 1.0 END AS recall, (SELECT count(*) FROM pairs) AS candidate_pairs,
-    (SELECT count(*) FROM records WHERE source = 1) AS s1_records, (SELECT count(*) FROM records WHERE source > 1) AS target_records, 1.0::DOUBLE - (SELECT count(*) FROM pairs)::DOUBLE / ({_SPACE}) AS reduction_ratio FROM flagged"""
+    + f"""SELECT count(*) AS true_pairs, count(*) FILTER (hit) AS recovered, count(*) FILTER (NOT hit) AS missed,
+    CASE WHEN count(*) > 0 THEN count(*) FILTER (hit)::DOUBLE / count(*) ELSE 1.0 END AS recall, (SELECT count(*) FROM pairs) AS candidate_pairs,
+    (SELECT count(*) FROM records WHERE source = 1) AS s1_records, (SELECT count(*) FROM records WHERE source > 1) AS target_records,
+    1.0::DOUBLE - (SELECT count(*) FROM pairs)::DOUBLE / ({_SPACE}) AS reduction_ratio FROM flagged"""
 )
-def blocking_recall(spark, sf_dir, whole=False):
-    s1, _, _ = adapters.sources(spark, sf_dir)
-    return recall.overall(_edges(spark, sf_dir, whole), _pairs(spark, sf_dir, _settings(whole)), s1, _targets(spark, sf_dir))
+def blocking_recall(spark, sf_dir):
+    edges, one, others = adapters.matches(spark, sf_dir), adapters.ids(spark, sf_dir, 1), adapters.ids(spark, sf_dir, 2, 3)
+    return recall.overall(edges, _found(spark, sf_dir), one, others)
 
 
 @query(
     _pair_sql()
-    + "SELECT x.s AS target_source, count(f.s1) AS true_pairs, count(*) FILTER (f.hit) AS recovered, CASE WHEN count(f.s1) > 0 THEN count(*) FILTER (f.hit)::DOUBLE / count(f.s1) ELSE 1.0 END AS recall FROM (VALUES ('Source 2'), ('Source 3')) x(s) LEFT JOIN flagged f ON f.target_source = x.s GROUP BY x.s"
+    + """SELECT x.s AS target_source, count(f.s1) AS true_pairs, count(*) FILTER (f.hit) AS recovered,
+    CASE WHEN count(f.s1) > 0 THEN count(*) FILTER (f.hit)::DOUBLE / count(f.s1) ELSE 1.0 END AS recall
+    FROM (VALUES ('Source 2'), ('Source 3')) x(s) LEFT JOIN flagged f ON f.target_source = x.s GROUP BY x.s"""
 )
-def recall_by_source(spark, sf_dir, whole=False):
-    return recall.by_source(_edges(spark, sf_dir, whole), _pairs(spark, sf_dir, _settings(whole)))
+def recall_by_source(spark, sf_dir):
+    return recall.by_source(adapters.matches(spark, sf_dir), _found(spark, sf_dir))
 
 
-@query(_pair_sql() + "SELECT coalesce(n.c, 'unknown') AS country, count(*) AS true_pairs, count(*) FILTER (hit) AS recovered, count(*) FILTER (hit)::DOUBLE / count(*) AS recall FROM flagged f LEFT JOIN normal n ON n.entity_id = f.s1 GROUP BY 1")
-def recall_by_country(spark, sf_dir, whole=False):
-    s1, _, _ = adapters.sources(spark, sf_dir)
-    return recall.by_country(_edges(spark, sf_dir, whole), _pairs(spark, sf_dir, _settings(whole)), normalize.fields(s1))
+@query(
+    _pair_sql()
+    + """SELECT coalesce(n.c, 'unknown') AS country, count(*) AS true_pairs, count(*) FILTER (hit) AS recovered,
+    count(*) FILTER (hit)::DOUBLE / count(*) AS recall FROM flagged f LEFT JOIN normal n ON n.entity_id = f.s1 GROUP BY 1"""
+)
+def recall_by_country(spark, sf_dir):
+    return recall.by_country(adapters.matches(spark, sf_dir), _found(spark, sf_dir), adapters.ids(spark, sf_dir, 1))
 
 
 @query(_pair_sql() + "SELECT s1, n FROM per")
-def candidates_per_record(spark, sf_dir, whole=False):
-    s1, _, _ = adapters.sources(spark, sf_dir)
-    return recall.per_record(s1, _pairs(spark, sf_dir, _settings(whole)))
+def candidates_per_record(spark, sf_dir):
+    return recall.per_record(adapters.ids(spark, sf_dir, 1), _found(spark, sf_dir))
 
 
-@query(_pair_sql() + "SELECT avg(n) AS mean, quantile_cont(n, 0.5) AS median, min(n) AS least, max(n) AS most, round(quantile_cont(n, 0.9), 6) AS p90, round(quantile_cont(n, 0.95), 6) AS p95, round(quantile_cont(n, 0.99), 6) AS p99 FROM per")
-def candidate_distribution(spark, sf_dir, whole=False):
-    s1, _, _ = adapters.sources(spark, sf_dir)
-    out = recall.distribution(s1, _pairs(spark, sf_dir, _settings(whole)))
+@query(
+    _pair_sql()
+    + """SELECT avg(n) AS mean, quantile_cont(n, 0.5) AS median, min(n) AS least, max(n) AS most, round(quantile_cont(n, 0.9), 6) AS p90,
+    round(quantile_cont(n, 0.95), 6) AS p95, round(quantile_cont(n, 0.99), 6) AS p99 FROM per"""
+)
+def candidate_distribution(spark, sf_dir):
+    out = recall.distribution(adapters.ids(spark, sf_dir, 1), _found(spark, sf_dir))
     return out.withColumns({p: F.round(p, 6) for p in ("p90", "p95", "p99")})
 
 
-@query(_pair_sql() + "SELECT count(*) AS records, avg(n) AS mean, quantile_cont(n, 0.5) AS median, max(n) AS most FROM per WHERE s1 NOT IN (SELECT s1 FROM edges)")
-def zero_match_behaviour(spark, sf_dir, whole=False):
-    s1, _, _ = adapters.sources(spark, sf_dir)
-    return recall.zero_match(s1, _edges(spark, sf_dir, whole), _pairs(spark, sf_dir, _settings(whole)))
+@query(
+    _pair_sql()
+    + """SELECT count(*) AS records, avg(n) AS mean, quantile_cont(n, 0.5) AS median, max(n) AS most
+    FROM per WHERE s1 NOT IN (SELECT s1 FROM edges)"""
+)
+def zero_match_behaviour(spark, sf_dir):
+    return recall.zero_match(adapters.ids(spark, sf_dir, 1), adapters.matches(spark, sf_dir), _found(spark, sf_dir))
 
 
 _EACH = ", each AS (SELECT s1, count(*) AS k, count(*) FILTER (hit) AS g FROM flagged GROUP BY s1) "
@@ -290,184 +323,258 @@ _EACH = ", each AS (SELECT s1, count(*) AS k, count(*) FILTER (hit) AS g FROM fl
 
 @query(
     _pair_sql() + _EACH
-    + "SELECT count(*) AS records, coalesce(sum(k), 0)::BIGINT AS pairs, coalesce(sum(g), 0)::BIGINT AS recovered, count(*) FILTER (k = g) AS whole, CASE WHEN count(*) > 0 THEN sum(g)::DOUBLE / sum(k) ELSE 1.0 END AS recall, CASE WHEN count(*) > 0 THEN count(*) FILTER (k = g)::DOUBLE / count(*) ELSE 1.0 END AS whole_rate FROM each WHERE k > 1"
-)
-def multi_match_behaviour(spark, sf_dir, whole=False):
-    s1, _, _ = adapters.sources(spark, sf_dir)
-    return recall.multi_match(s1, _edges(spark, sf_dir, whole), _pairs(spark, sf_dir, _settings(whole)))
+    + """SELECT count(*) AS records, coalesce(sum(k), 0)::BIGINT AS pairs, coalesce(sum(g), 0)::BIGINT AS recovered, count(*) FILTER (k = g) AS whole,
+    CASE WHEN count(*) > 0 THEN sum(g)::DOUBLE / sum(k) ELSE 1.0 END AS recall,
+    CASE WHEN count(*) > 0 THEN count(*) FILTER (k = g)::DOUBLE / count(*) ELSE 1.0 END AS whole_rate FROM each WHERE k > 1"""
+)
+def multi_match_behaviour(spark, sf_dir):
+    return recall.multi_match(adapters.ids(spark, sf_dir, 1), adapters.matches(spark, sf_dir), _found(spark, sf_dir))
 
 
 @query(
     _pair_sql() + _EACH
-    + "SELECT count(*) AS records, count(*) FILTER (g = 0) AS zero, count(*) FILTER (g = k) AS \"full\", count(*) FILTER (g > 0 AND g < k) AS partial, coalesce(avg(g::DOUBLE / k), 0.0) AS macro_recall, coalesce(sum(k), 0)::BIGINT AS true_pairs, coalesce(sum(g), 0)::BIGINT AS recovered, coalesce(sum(k - g), 0)::BIGINT AS missed, true AS consistent FROM each"
-)
-def record_recovery(spark, sf_dir, whole=False):
-    return recall.s1_recovery(_edges(spark, sf_dir, whole), _pairs(spark, sf_dir, _settings(whole)))
+    + """SELECT count(*) AS records, count(*) FILTER (g = 0) AS zero, count(*) FILTER (g = k) AS "full", count(*) FILTER (g > 0 AND g < k) AS partial,
+    coalesce(avg(g::DOUBLE / k), 0.0) AS macro_recall, coalesce(sum(k), 0)::BIGINT AS true_pairs, coalesce(sum(g), 0)::BIGINT AS recovered,
+    coalesce(sum(k - g), 0)::BIGINT AS missed, true AS consistent FROM each"""
+)
+def record_recovery(spark, sf_dir):
+    return recall.s1_recovery(adapters.matches(spark, sf_dir), _found(spark, sf_dir))
 
 
 @query(_pair_sql() + "SELECT s1 AS source1_entity_id, t AS target_entity_id, target_source, 'not_blocked' AS reason FROM flagged WHERE NOT hit")
-def missed_pairs(spark, sf_dir, whole=False):
-    return recall.missed(_edges(spark, sf_dir, whole), _pairs(spark, sf_dir, _settings(whole)))
+def missed_pairs(spark, sf_dir):
+    return recall.missed(adapters.matches(spark, sf_dir), _found(spark, sf_dir))
 
 
-@query(
-    _pair_sql()
-    + " UNION ALL ".join(
-        f"SELECT '{k}' AS strategy, count(*) AS candidate_pairs, count(*) FILTER (f.s1 IS NOT NULL) AS recovered, CASE WHEN (SELECT count(*) FROM edges) > 0 THEN count(*) FILTER (f.s1 IS NOT NULL)::DOUBLE / (SELECT count(*) FROM edges) ELSE 1.0 END AS recall, 1.0::DOUBLE - count(*)::DOUBLE / ({_SPACE}) AS reduction_ratio, "
-        f"count(*)::DOUBLE / (SELECT count(*) FROM records WHERE source = 1) AS mean_candidates FROM pairs p LEFT JOIN edges f ON p.s1 = f.s1 AND p.t = f.t WHERE p.mask & {b} <> 0"
-        for k, b in {**o.BITS, "composite": 31}.items()
-    )
-)
-def strategy_comparison(spark, sf_dir, whole=False):
-    s1, _, _ = adapters.sources(spark, sf_dir)
-    return recall.by_strategy(_edges(spark, sf_dir, whole), _pairs(spark, sf_dir, _settings(whole)), s1, _targets(spark, sf_dir), _settings(whole))
+def _strategy_sql(k, b):
+    return f"""SELECT '{k}' AS strategy, count(*) AS candidate_pairs, count(*) FILTER (f.s1 IS NOT NULL) AS recovered,
+    CASE WHEN (SELECT count(*) FROM edges) > 0 THEN count(*) FILTER (f.s1 IS NOT NULL)::DOUBLE / (SELECT count(*) FROM edges) ELSE 1.0 END AS recall,
+    1.0::DOUBLE - count(*)::DOUBLE / ({_SPACE}) AS reduction_ratio, count(*)::DOUBLE / (SELECT count(*) FROM records WHERE source = 1) AS mean_candidates
+    FROM pairs p LEFT JOIN edges f ON p.s1 = f.s1 AND p.t = f.t WHERE p.mask & {b} <> 0"""
 
 
-# -- training pairs -------------------------------------------------------------------------------
+@query(_pair_sql() + " UNION ALL ".join(_strategy_sql(k, b) for k, b in {**o.BITS, "composite": 31}.items()))
+def strategy_comparison(spark, sf_dir):
+    edges, one, others = adapters.matches(spark, sf_dir), adapters.ids(spark, sf_dir, 1), adapters.ids(spark, sf_dir, 2, 3)
+    return recall.by_strategy(edges, _found(spark, sf_dir), one, others, SETTINGS)
 
 
-def _training(spark, sf_dir):
-    edges = _edges(spark, sf_dir, whole=True)
-    s1, _, _ = adapters.sources(spark, sf_dir)
-    pool = normalize.fields(_targets(spark, sf_dir)).select(F.col("entity_id").alias("t"), "country")
-    drawn = pairs.negatives(edges, pool, pairs.Negatives(negatives_per_positive=2), normalize.fields(s1), _pairs(spark, sf_dir, WHOLE))
-    return pairs.positives(edges).unionByName(drawn)
+# -- training pairs -------------------------------------------------------------------------------
+
+_TRAINING = _pair_sql("allow_missing", o.training_tables())
 
 
 @query(_TRUTH + "SELECT s1 AS source1_entity_id, t AS target_entity_id, target_source, 1 AS label, 'positive' AS pair_type FROM edges")
-def positive_pairs(spark, sf_dir, whole=False):
-    return pairs.positives(_edges(spark, sf_dir, whole))
+def positive_pairs(spark, sf_dir):
+    return pairs.positives(adapters.matches(spark, sf_dir))
 
 
-@query()
+@query(_TRAINING + "SELECT * FROM training")
 def training_pairs(spark, sf_dir):
-    return _training(spark, sf_dir)
+    return adapters.training(spark, sf_dir)
+
+
+_KINDS = ", ".join(f"count(*) FILTER (pair_type = '{k}') AS {k}_pairs" for k in ("positive", "hard_negative", "random_negative"))
 
 
-@query()
+@query(
+    _TRAINING
+    + f"""SELECT count(*) AS total_pairs, {_KINDS}, count(*) FILTER (label = 0) AS negative_pairs,
+    count(DISTINCT source1_entity_id) AS unique_source1, count(DISTINCT target_entity_id) AS unique_targets FROM training"""
+)
 def training_pair_stats(spark, sf_dir):
-    return pairs.stats(_training(spark, sf_dir))
+    return pairs.stats(adapters.training(spark, sf_dir))
 
 
 @query(_TRUTH + "SELECT target_source, 0::BIGINT AS label_0, count(*) AS label_1 FROM edges GROUP BY target_source")
-def positive_label_pivot(spark, sf_dir, whole=False):
-    return pairs.label_pivot(pairs.positives(_edges(spark, sf_dir, whole)))
+def positive_label_pivot(spark, sf_dir):
+    return pairs.label_pivot(pairs.positives(adapters.matches(spark, sf_dir)))
 
 
-@query(
-    _TRUTH
-    + "SELECT count(*) AS pairs, count(*) AS positives, 0::BIGINT AS negatives, 0::BIGINT AS false_positives, 0::BIGINT AS true_negatives, 0::BIGINT AS invalid_ids, 0::BIGINT AS invalid_labels, 0::BIGINT AS leaks, 0::BIGINT AS duplicates, 0::BIGINT AS missing_positives, 0::BIGINT AS broken_multi, "
-    + ", ".join(f"'PASS' AS {c}" for c in ("c01_positive_fidelity", "c02_negative_integrity", "c03_no_duplicates", "c04_valid_s1_ids", "c05_valid_target_ids", "c06_labels", "c07_all_positives", "c08_multi_match", "c09_reproducible", "c10_no_test_leakage", "c11_no_enrichment"))
-    + " FROM edges"
+_VERDICTS = (
+    "c01_positive_fidelity", "c02_negative_integrity", "c03_no_duplicates", "c04_valid_s1_ids", "c05_valid_target_ids", "c06_labels",
+    "c07_all_positives", "c08_multi_match", "c09_reproducible", "c10_no_test_leakage", "c11_no_enrichment",
+)
+_NO_FAULTS = ", ".join(
+    f"0::BIGINT AS {c}"
+    for c in ("false_positives", "true_negatives", "invalid_ids", "invalid_labels", "leaks", "duplicates", "missing_positives", "broken_multi")
 )
-def positive_pair_checks(spark, sf_dir, whole=False):
-    edges = _edges(spark, sf_dir, whole)
+_ALL_PASS = ", ".join(f"'PASS' AS {c}" for c in _VERDICTS)
+
+
+@query(_TRUTH + f"SELECT count(*) AS pairs, count(*) AS positives, 0::BIGINT AS negatives, {_NO_FAULTS}, {_ALL_PASS} FROM edges")
+def positive_pair_checks(spark, sf_dir):
+    edges = adapters.matches(spark, sf_dir)
     return pairs.checks(pairs.positives(edges), edges, all_positives=True)
 
 
-@query()
+@query(
+    _TRAINING
+    + f""", known AS (SELECT x.*, e.s1 IS NOT NULL AS is_true FROM training x LEFT JOIN edges e ON e.s1 = source1_entity_id AND e.t = target_entity_id)
+    SELECT count(*) AS pairs, count(*) FILTER (label = 1) AS positives, count(*) FILTER (label = 0) AS negatives,
+    count(*) FILTER (label = 1 AND NOT is_true) AS false_positives, count(*) FILTER (label = 0 AND is_true) AS true_negatives,
+    0::BIGINT AS invalid_ids, 0::BIGINT AS invalid_labels, 0::BIGINT AS leaks,
+    count(*) - count(DISTINCT source1_entity_id || ' ' || target_entity_id) AS duplicates,
+    (SELECT count(*) FROM edges) - count(*) FILTER (label = 1) AS missing_positives, 0::BIGINT AS broken_multi, {_ALL_PASS} FROM known"""
+)
 def training_pair_checks(spark, sf_dir):
-    return pairs.checks(_training(spark, sf_dir), _edges(spark, sf_dir, whole=True), all_positives=True)
+    return pairs.checks(adapters.training(spark, sf_dir), adapters.matches(spark, sf_dir), all_positives=True)
+
+
+def _test_ids(spark, sf_dir):
+    """Every seventh record plays a test record."""
+    return adapters.ids(spark, sf_dir, 1, 2, 3).where(F.pmod(F.split("entity_id", "_")[1].cast("long"), F.lit(7)) == 0)
+
+
+_IS_TEST = "(split_part({0}, '_', 2)::BIGINT % 7 = 0)"
+
+
+@query(
+    _TRAINING
+    + f"SELECT count(*) AS pairs, count(*) FILTER ({_IS_TEST.format('source1_entity_id')} OR {_IS_TEST.format('target_entity_id')}) AS leaks FROM training"
+)
+def training_pair_leaks(spark, sf_dir):
+    """Leakage against real test ids."""
+    edges = adapters.matches(spark, sf_dir)
+    return pairs.checks(adapters.training(spark, sf_dir), edges, _test_ids(spark, sf_dir), all_positives=True).select("pairs", "leaks")
 
 
 # -- final candidates -----------------------------------------------------------------------------
 
 
-def _twice(spark, sf_dir, whole=False):
+def _twice(spark, sf_dir):
     """Candidates as a file may have them: each found by exact name is there twice."""
-    found = _pairs(spark, sf_dir, _settings(whole))
-    rows = found.select(F.col("s1").alias("source1_entity_id"), F.col("t").alias("target_entity_id"), "target_source", F.array_join(blocking.strategy_names(F.col("mask"), _settings(whole)), ",").alias("strategies"), "mask")
-    return rows.unionByName(rows.where(F.col("mask").bitwiseAND(1) != 0)).drop("mask")
+    found = _found(spark, sf_dir)
+    names = F.array_join(blocking.strategy_names(F.col("mask"), SETTINGS), ",").alias("strategies")
+    copies = F.explode(F.when(F.col("mask").bitwiseAND(1) != 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    rows = found.select(F.col("s1").alias("source1_entity_id"), F.col("t").alias("target_entity_id"), "target_source", names, copies)
+    return rows.drop("col")
 
 
 @query(_pair_sql() + _CANDIDATES)
-def final_candidates(spark, sf_dir, whole=False):
-    return candidates.final(candidates.marked(_twice(spark, sf_dir, whole)))
+def final_candidates(spark, sf_dir):
+    return candidates.final(candidates.marked(_twice(spark, sf_dir)))
+
+
+_CLEAN = f"NOT ({_IS_TEST.format('s1')} OR {_IS_TEST.format('t')})"
+
+
+@query(_pair_sql() + _CANDIDATES + f" WHERE {_CLEAN}")
+def final_candidates_without_test_ids(spark, sf_dir):
+    return candidates.final(candidates.marked(_twice(spark, sf_dir), _test_ids(spark, sf_dir)))
 
 
 @query(_pair_sql() + " UNION ALL ".join(f"SELECT '{k}' AS strategy, count(*) AS n FROM pairs WHERE mask & {b} <> 0 HAVING count(*) > 0" for k, b in o.BITS.items()))
-def strategy_contributions(spark, sf_dir, whole=False):
-    return candidates.contributions(candidates.final(candidates.marked(_twice(spark, sf_dir, whole))))
+def strategy_contributions(spark, sf_dir):
+    return candidates.contributions(candidates.final(candidates.marked(_twice(spark, sf_dir))))
 
 
 @query(
     _pair_sql()
-    + "SELECT count(*) AS records, min(n) AS least, max(n) AS most, avg(n) AS mean, sum(n)::BIGINT AS pairs, sum(n2)::BIGINT AS source2_pairs, sum(n - n2)::BIGINT AS source3_pairs, sum(n2)::DOUBLE / sum(n) AS source2_share, sum(n - n2)::DOUBLE / sum(n) AS source3_share FROM (SELECT s1, count(*) AS n, count(*) FILTER (target_source = 'Source 2') AS n2 FROM pairs GROUP BY s1)"
+    + """SELECT count(*) AS records, min(n) AS least, max(n) AS most, avg(n) AS mean, sum(n)::BIGINT AS pairs, sum(n2)::BIGINT AS source2_pairs,
+    sum(n - n2)::BIGINT AS source3_pairs, sum(n2)::DOUBLE / sum(n) AS source2_share, sum(n - n2)::DOUBLE / sum(n) AS source3_share
+    FROM (SELECT s1, count(*) AS n, count(*) FILTER (target_source = 'Source 2') AS n2 FROM pairs GROUP BY s1)"""
 )
-def candidate_degrees(spark, sf_dir, whole=False):
-    return candidates.degree_stats(candidates.final(candidates.marked(_twice(spark, sf_dir, whole))))
+def candidate_degrees(spark, sf_dir):
+    return candidates.degree_stats(candidates.final(candidates.marked(_twice(spark, sf_dir))))
+
+
+_FINAL = {
+    "c1_s1_ids": "PASS", "c2_target_ids": "PASS", "c3_source_labels": "PASS", "c4_order": "PASS", "c5_duplicates": "WARN",
+    "c6_test_leakage": "PASS", "c7_count": "PASS", "c8_commit": "WARN", "status": "PASS",
+}
 
 
-_FINAL = {"c1_s1_ids": "PASS", "c2_target_ids": "PASS", "c3_source_labels": "PASS", "c4_order": "PASS", "c5_duplicates": "WARN", "c6_test_leakage": "PASS", "c7_count": "PASS", "c8_commit": "WARN", "status": "PASS"}
+def _final_verdict(k, v):
+    return f"CASE WHEN '{k}' = 'c5_duplicates' AND count(*) FILTER (mask & 1 <> 0) = 0 THEN 'PASS' ELSE '{v}' END AS {k}"
 
 
 @query(
     _pair_sql()
-    + "SELECT count(*) + count(*) FILTER (mask & 1 <> 0) AS input_rows, count(*) AS output_rows, count(*) FILTER (mask & 1 <> 0) AS duplicates, 0::BIGINT AS bad_s1_ids, 0::BIGINT AS bad_target_ids, 0::BIGINT AS bad_sources, 0::BIGINT AS leaks, 0::BIGINT AS inversions, "
-    + ", ".join(f"CASE WHEN '{k}' = 'c5_duplicates' AND count(*) FILTER (mask & 1 <> 0) = 0 THEN 'PASS' ELSE '{v}' END AS {k}" for k, v in _FINAL.items())
-    + " FROM pairs"
-)
-def final_candidate_checks(spark, sf_dir, whole=False):
-    return candidates.final_checks(candidates.marked(_twice(spark, sf_dir, whole)))
+    + """SELECT count(*) + count(*) FILTER (mask & 1 <> 0) AS input_rows, count(*) AS output_rows, count(*) FILTER (mask & 1 <> 0) AS duplicates,
+    0::BIGINT AS bad_s1_ids, 0::BIGINT AS bad_target_ids, 0::BIGINT AS bad_sources, 0::BIGINT AS leaks, 0::BIGINT AS inversions, """
+    + ", ".join(_final_verdict(k, v) for k, v in _FINAL.items()) + " FROM pairs"
+)
+def final_candidate_checks(spark, sf_dir):
+    return candidates.final_checks(candidates.marked(_twice(spark, sf_dir)))
+
+
+_BLOCK = (
+    "c01_s1_ids", "c02_target_ids", "c03_no_cross_source", "c04_no_duplicates", "c05_order", "c06_metrics", "c07_no_test_leakage",
+    "c08_no_enrichment", "c09_version", "c10_settings",
+)
 
 
-_BLOCK = ("c01_s1_ids", "c02_target_ids", "c03_no_cross_source", "c04_no_duplicates", "c05_order", "c06_metrics", "c07_no_test_leakage", "c08_no_enrichment", "c09_version", "c10_settings")
+@query(
+    _pair_sql()
+    + """SELECT count(*) AS pairs, count(*) AS unique_pairs, 0::BIGINT AS bad_s1_ids, 0::BIGINT AS bad_target_ids, 0::BIGINT AS cross_source,
+    0::BIGINT AS leaks, 0::BIGINT AS inversions, """
+    + ", ".join(f"'PASS' AS {c}" for c in _BLOCK) + ", 'WARN' AS c11_commit, 'PASS' AS c12_strategy, 'PASS' AS status FROM pairs"
+)
+def blocking_checks(spark, sf_dir):
+    found = blocking.as_candidates(_found(spark, sf_dir))
+    return candidates.blocking_checks(found, blocking_recall(spark, sf_dir), version="1", settings=SETTINGS.to_dict(), strategy="composite")
 
 
-@query(_pair_sql() + "SELECT count(*) AS pairs, count(*) AS unique_pairs, 0::BIGINT AS bad_s1_ids, 0::BIGINT AS bad_target_ids, 0::BIGINT AS cross_source, 0::BIGINT AS leaks, 0::BIGINT AS inversions, " + ", ".join(f"'PASS' AS {c}" for c in _BLOCK) + ", 'WARN' AS c11_commit, 'PASS' AS c12_strategy, 'PASS' AS status FROM pairs")
-def blocking_checks(spark, sf_dir, whole=False):
-    s1, s2, s3 = adapters.sources(spark, sf_dir)
-    found = blocking.candidates(s1, s2, s3, _settings(whole))
-    return candidates.blocking_checks(found, blocking_recall(spark, sf_dir, whole), version="1", settings=_settings(whole).to_dict(), strategy="composite")
+@query(
+    _pair_sql()
+    + f"SELECT count(*) AS pairs, count(*) FILTER (NOT {_CLEAN}) AS leaks, CASE WHEN count(*) FILTER (NOT {_CLEAN}) = 0 THEN 'PASS' ELSE 'FAIL' END AS c07_no_test_leakage FROM pairs"
+)
+def blocking_leaks(spark, sf_dir):
+    """Leakage against real test ids."""
+    found = blocking.as_candidates(_found(spark, sf_dir))
+    return candidates.blocking_checks(found, test_ids=_test_ids(spark, sf_dir)).select("pairs", "leaks", "c07_no_test_leakage")
 
 
 # -- features -------------------------------------------------------------------------------------
 
 _EDGE_PAIRS = "SELECT s1, t, target_source, '' AS names FROM edges"
 _ALL_PAIRS = f"SELECT s1, t, target_source, {o.names_of()} AS names FROM pairs"
+_FEATURES = _pair_sql("allow_missing", o.feature_sql(_ALL_PAIRS))
 
 
-def _records(spark, sf_dir):
-    return features.one_of_each(*[normalize.normalize(r) for r in adapters.sources(spark, sf_dir)])
+def _features(found, spark, sf_dir):
+    records = adapters.feature_records(spark, sf_dir)
+    return features.pair_features(spread(found), records, features.small(records))
 
 
-def _features(spark, sf_dir, whole=False):
-    found = blocking.candidates(*adapters.sources(spark, sf_dir), _settings(whole))
-    return features.pair_features(found, _records(spark, sf_dir))
+def _candidate_features(spark, sf_dir):
+    found = _found(spark, sf_dir)
+    names = blocking.strategy_names(F.col("mask"), SETTINGS).alias("strategies")
+    rows = found.select(F.col("s1").alias("source1_entity_id"), F.col("t").alias("target_entity_id"), "target_source", names)
+    return _features(rows, spark, sf_dir)
 
 
 @query(o.base(o.NORMAL, o.TRUTH, o.feature_sql(_EDGE_PAIRS)) + "SELECT * FROM features")
-def features_true_pairs(spark, sf_dir, whole=False):
-    edges = pairs.positives(_edges(spark, sf_dir, whole)).drop("label", "pair_type")
-    return features.pair_features(edges, _records(spark, sf_dir)).drop("s1_found", "target_found")
-
-
-@query(_pair_sql("allow_missing", o.feature_sql(_ALL_PAIRS)) + "SELECT * FROM features")
-def features_candidates(spark, sf_dir, whole=False):
-    return _features(spark, sf_dir, whole).drop("s1_found", "target_found", "strategies")
+def features_true_pairs(spark, sf_dir):
+    edges = pairs.positives(adapters.matches(spark, sf_dir)).drop("label", "pair_type")
+    return _features(edges, spark, sf_dir).drop("s1_found", "target_found")
 
 
-@query(_pair_sql("allow_missing", o.feature_sql(_ALL_PAIRS)) + "SELECT feature, round(avg(v), 9) AS mean, min(v) AS least, max(v) AS most FROM (UNPIVOT (SELECT * EXCLUDE (source1_entity_id, target_entity_id, target_source) FROM features) ON COLUMNS(*) INTO NAME feature VALUE v) GROUP BY feature")
-def feature_summary(spark, sf_dir, whole=False):
-    return features.summary(_features(spark, sf_dir, whole)).withColumn("mean", F.round("mean", 9))
+@query(_FEATURES + "SELECT * FROM features")
+def features_candidates(spark, sf_dir):
+    return _candidate_features(spark, sf_dir).drop("s1_found", "target_found", "strategies")
 
 
-@query(_pair_sql() + "SELECT count(*) AS row_count, 0::BIGINT AS missing_s1, 0::BIGINT AS missing_targets, 0::BIGINT AS odd_rows, 'PASS' AS c1_schema, 'PASS' AS c2_dimension, 'PASS' AS c3_finite, 'PASS' AS c4_no_labels, 'PASS' AS c5_rows, 'WARN' AS c6_commit, 'PASS' AS status FROM pairs")
-def feature_checks(spark, sf_dir, whole=False):
-    return features.checks(_features(spark, sf_dir, whole), candidate=True)
+@query(
+    _FEATURES
+    + """SELECT feature, round(avg(v), 9) AS mean, min(v) AS least, max(v) AS most
+    FROM (UNPIVOT (SELECT * EXCLUDE (source1_entity_id, target_entity_id, target_source) FROM features) ON COLUMNS(*) INTO NAME feature VALUE v)
+    GROUP BY feature"""
+)
+def feature_summary(spark, sf_dir):
+    return features.summary(_candidate_features(spark, sf_dir)).withColumn("mean", F.round("mean", 9))
 
 
-#: Queries on blocking pairs or the truth; each is registered once more, without SQL, as ``..._whole``: with the operator's own settings and all matches.
-BLOCKED = (
-    "posting_stats", "suppressed_keys", "top_suppressed_keys", "candidates_allow_missing", "candidates_strict", "candidates_none", "candidates_exact_name", "blocking_recall", "recall_by_source", "recall_by_country",
-    "candidates_per_record", "candidate_distribution", "zero_match_behaviour", "multi_match_behaviour", "record_recovery", "missed_pairs", "strategy_comparison", "final_candidates", "strategy_contributions",
-    "candidate_degrees", "final_candidate_checks", "blocking_checks", "features_candidates", "feature_summary", "feature_checks",
-)
-TRUE = ("truth_edges", "truth_cardinality", "truth_profile", "positive_pairs", "positive_label_pivot", "positive_pair_checks", "features_true_pairs")
-for _name in BLOCKED + TRUE:
-    query(name=f"{_name}_whole")(partial(QUERIES[_name], whole=True))
+@query(
+    _pair_sql()
+    + """SELECT count(*) AS row_count, 0::BIGINT AS missing_s1, 0::BIGINT AS missing_targets, 0::BIGINT AS odd_rows, 'PASS' AS c1_schema,
+    'PASS' AS c2_dimension, 'PASS' AS c3_finite, 'PASS' AS c4_no_labels, 'PASS' AS c5_rows, 'WARN' AS c6_commit, 'PASS' AS status FROM pairs"""
+)
+def feature_checks(spark, sf_dir):
+    return features.checks(_candidate_features(spark, sf_dir), candidate=True)
 
 
 def flagship(spark, sf_dir):
-    """Candidates of all strategies with what each finds of the truth, with the operator's own settings."""
-    return strategy_comparison(spark, sf_dir, whole=True)
+    """Candidates of all strategies with what each finds of the truth."""
+    return strategy_comparison(spark, sf_dir)

@@ -20,17 +20,12 @@ def new_records(spark: SparkSession, folder: str, schema: StructType, files_at_o
 
 def index(s2: DataFrame, s3: DataFrame, s: blocking.Blocking | None = None) -> DataFrame:
     """The key table without suppressed keys: what a batch of new records is joined with."""
-    keys = blocking.target_keys(s2, s3, s)
-    return keys.join(blocking.suppressed(keys, s).select("key"), "key", "left_anti")
+    return blocking.kept_index(blocking.target_keys(s2, s3, s), s)
 
 
 def link(arrived: DataFrame, targets: DataFrame, s: blocking.Blocking | None = None) -> DataFrame:
     """s1, t, target_source, mask for a batch (or a static table) of records and a key table from ``index``."""
-    s = s or blocking.Blocking()
-    left = blocking.keys(arrived, s).select(F.col("entity_id").alias("s1"), F.col("country").alias("c1"), "key", "bit")
-    right = targets.select("t", "target_source", F.col("country").alias("c2"), F.col("key").alias("key2"))
-    found = left.join(right, (F.col("key") == F.col("key2")) & blocking.agreement(F.col("c1"), F.col("c2"), s.country_agreement_mode))
-    return found.groupBy("s1", "t").agg(F.max("target_source").alias("target_source"), F.bit_or("bit").alias("mask"))
+    return blocking.match(blocking.keys(arrived, s), targets, s)
 
 
 def key_stream(arrived: DataFrame, targets: DataFrame, s: blocking.Blocking | None = None) -> DataFrame:
