@@ -10,12 +10,14 @@ import os
 from collections.abc import Iterable
 from urllib.parse import urlparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import text
+from .shared import spread
 
+#: The columns of the tables.
 RECORD_COLUMNS = ("entity_id", "business_name", "business_address", "country")
 DERIVED_COLUMNS = ("business_name_normalized", "business_name_core", "business_name_alnum", "business_address_normalized", "business_address_alnum", "country_normalized")
 NORMAL_COLUMNS = ("entity_id", "business_name", *DERIVED_COLUMNS[:3], "business_address", *DERIVED_COLUMNS[3:5], "country", DERIVED_COLUMNS[5])
@@ -27,7 +29,7 @@ EXPECTED_FILES = {
     "train/train_source1.tsv": "source1", "train/train_source2.tsv": "source2", "train/train_source3.tsv": "source3", "train/train_ground_truth.tsv": "truth",
     "test/test_source1.tsv": "source1", "test/test_source2.tsv": "source2", "test/test_source3.tsv": "source3",
 }
-_TSV = {"sep": "\t", "header": True, "quote": '"', "escape": '"', "multiLine": True}
+_TSV = {"sep": "\t", "header": True, "quote": '"', "escape": '"'}
 
 
 def join_path(root: str, relative: str) -> str:
@@ -40,9 +42,10 @@ def join_path(root: str, relative: str) -> str:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path is there, in any file system that Spark reads; other errors are raised."""
+    """Whether a path (or any that a pattern names) is there, in any file system that Spark reads; other errors are raised."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+    found = where.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(where)
+    return found is not None and len(found) > 0
 
 
 def resolve(spark: SparkSession, root: str, relative: str) -> str:
@@ -52,12 +55,23 @@ def resolve(spark: SparkSession, root: str, relative: str) -> str:
     return normal if exists(spark, normal) else join_path(root, relative)
 
 
-def read_tsv(spark: SparkSession, path: str) -> DataFrame:
-    """All columns as strings, '' for missing ones. A missing file is an error."""
+def has_broken_lines(spark: SparkSession, path: str) -> bool:
+    """Whether a quoted cell may go on in the next line: the first line of such a cell has an odd number of quotes."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
+
+
+def read_tsv(spark: SparkSession, path: str, dealt: bool = True) -> DataFrame:
+    """All columns as strings, '' for missing ones. A missing file is an error.
+
+    Files are split by lines, unless a quoted cell holds a line break: those are read whole. ``dealt``
+    deals what few unsplittable files hold (such ones, or gzip) to all cores; else rows come in order of files.
+    """
     if not exists(spark, path):
         raise FileNotFoundError(path)
-    table = spark.read.options(**_TSV).csv(path)
-    return table.select(*[text.filled(F.col(f"`{c}`")).alias(c) for c in table.columns])
+    table = spark.read.options(**_TSV, multiLine=has_broken_lines(spark, path)).csv(path)
+    table = table.select(*[text.filled(F.col(f"`{c}`")).alias(c) for c in table.columns])
+    return spread(table) if dealt else table
 
 
 def read_records(spark: SparkSession, root: str, relative: str, first: int | None = None) -> DataFrame:
@@ -115,11 +129,14 @@ def write_bundle(spark: SparkSession, folder: str, tables: dict[str, DataFrame],
 
 
 def write_features(features: DataFrame, folder: str, names: Iterable[str], ids: Iterable[str]) -> None:
-    """Features, labels and ids apart, each with the same row key."""
-    keyed = features.withColumn("row_key", F.xxhash64(*ids))
-    for name, columns in (("X", list(names)), ("ids", list(ids)), ("y", ["label"] if "label" in features.columns else [])):
+    """Features, labels and ids apart, each with the same row key: ids as one string, and the number of the row among those that repeat them."""
+    ids = list(ids)
+    key = F.concat_ws("\t", *[F.array_join(c, ",") if t.startswith("array") else F.coalesce(F.col(c).cast("string"), F.lit("")) for c, t in features.dtypes if c in ids])
+    order = Window.partitionBy("row_key").orderBy(*[c for c in names])
+    keyed = features.withColumn("row_key", key).withColumn("row_copy", F.row_number().over(order))
+    for name, columns in (("X", list(names)), ("ids", ids), ("y", ["label"] if "label" in features.columns else [])):
         if columns:
-            write_parquet(keyed.select("row_key", *columns), join_path(folder, name))
+            write_parquet(keyed.select("row_key", "row_copy", *columns), join_path(folder, name))
 
 
 def report_of(row) -> dict:

@@ -62,7 +62,7 @@ def test_all_commands(spark, root, tmp_path):
     assert run("features", "--input", root, "--output", f"{out}/x", "--pairs", f"{out}/f/candidates") == 0
     assert run("features", "--input", root, "--output", f"{out}/x", "--pairs", f"{out}/p/training_pairs", "--mode", "train") == 0
     x, y = spark.read.parquet(f"{out}/x/matrix_train/X"), spark.read.parquet(f"{out}/x/matrix_train/y")
-    assert len(x.columns) == 52 and x.join(y, "row_key").count() == y.count() > 0
+    assert len(x.columns) == 53 and x.join(y, ["row_key", "row_copy"]).count() == y.count() == y.distinct().count() > 0
 
 
 def test_a_missing_file_fails(spark, root, tmp_path):
