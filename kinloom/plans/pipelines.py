@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import time
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import blocking, candidates, features, normalize, pairs, quality, recall, truth
 from ..sources import tables as io
+from ..sources.shared import written
 
 SOURCES = {k: f"train/train_source{k}.tsv" for k in (1, 2, 3)}
 TRUTH = "train/train_ground_truth.tsv"
@@ -58,8 +60,11 @@ def normalize_all(spark: SparkSession, run: Run) -> dict:
     return report
 
 
-def training_pairs(spark: SparkSession, run: Run) -> dict:
+def training_pairs(spark: SparkSession, run: Run, max_rows: int | None = None) -> dict:
+    """Training pairs of the ground truth, or of its first ``max_rows`` rows by id (a sampling operator)."""
     raw = io.read_tsv(spark, io.join_path(run.raw, TRUTH))
+    if max_rows:
+        raw = raw.orderBy(*io.TRUTH_COLUMNS).limit(max_rows)
     s1, s2, s3 = _sources(spark, run)
     edges = truth.edges(raw)
     fields = lambda r: normalize.fields(r)
@@ -78,12 +83,13 @@ def training_pairs(spark: SparkSession, run: Run) -> dict:
     return report
 
 
-def generate_candidates(spark: SparkSession, run: Run, strategy: str = "composite") -> dict:
-    from dataclasses import replace
-
+def generate_candidates(spark: SparkSession, run: Run, strategy: str = "composite", sample_size: int | None = None) -> dict:
+    """Candidates of all records of source 1, or of its first ``sample_size`` by id (a sampling operator)."""
     began = time.time()
     settings = replace(run.settings, strategies=blocking.strategies_of(strategy, run.settings))
     s1, s2, s3 = _sources(spark, run)
+    if sample_size:
+        s1 = s1.orderBy("entity_id").limit(sample_size)
     io.write_parquet(blocking.candidates(s1, s2, s3, settings), io.join_path(run.out, "candidates"))
     found = spark.read.parquet(io.join_path(run.out, "candidates"))
     stats = _row(blocking.posting_stats(blocking.target_keys(s2, s3, settings), settings))
@@ -115,9 +121,14 @@ def evaluate_blocking(spark: SparkSession, run: Run, sample_size: int | None = N
     return report
 
 
+def read_pairs(spark: SparkSession, path: str) -> DataFrame:
+    """A table of pairs, TSV or Parquet, in the order of its files."""
+    return io.read_tsv(spark, path, dealt=False) if path.endswith((".tsv", ".tsv.gz")) else spark.read.parquet(path)
+
+
 def evaluate_recall(spark: SparkSession, found_path: str, truth_path: str, out: str, n_s1: int = 2_206_821, n_targets: int = 10_320_219) -> dict:
     """Recall of a candidate file against any ground-truth file; without truth it is 0. The pool sizes default to the full data's."""
-    read = lambda p: spark.read.parquet(p) if not p.endswith((".tsv", ".tsv.gz")) else io.read_tsv(spark, p)
+    read = partial(read_pairs, spark)
     rows = candidates.with_position(read(found_path))
     found = candidates.marked(rows).where("copy = 1").select(F.col("source1_entity_id").alias("s1"), F.col("target_entity_id").alias("t"))
     known = truth.positives(read(truth_path))
@@ -134,7 +145,7 @@ def evaluate_recall(spark: SparkSession, found_path: str, truth_path: str, out:
 
 
 def finalize(spark: SparkSession, found_path: str, out: str, expected: int | None = None, test_ids: DataFrame | None = None, commit: str = "") -> dict:
-    raw = candidates.with_position(spark.read.parquet(found_path) if not found_path.endswith((".tsv", ".tsv.gz")) else io.read_tsv(spark, found_path))
+    raw = candidates.with_position(read_pairs(spark, found_path))
     rows = candidates.marked(raw, test_ids)
     io.write_parquet(candidates.final(rows), io.join_path(out, "candidates"))
     made = spark.read.parquet(io.join_path(out, "candidates"))
@@ -148,8 +159,9 @@ def build_features(spark: SparkSession, run: Run, rows: DataFrame, name: str, ca
     """Features of training pairs or candidates, as one table and as features, labels and ids apart."""
     if max_rows:
         rows = rows.orderBy("source1_entity_id", "target_entity_id").limit(max_rows)
-    known = features.one_of_each(*[normalize.normalize(r) if "business_name_normalized" not in r.columns else r for r in _sources(spark, run)])
-    made = features.pair_features(rows if candidate else rows.drop("strategies"), known)
+    whole = lambda r: r if "business_name_normalized" in r.columns else normalize.normalize(r)
+    known = written(features.one_of_each(*map(whole, _sources(spark, run))), "feature-records")
+    made = features.pair_features(rows if candidate else rows.drop("strategies"), known, features.small(known))
     path = io.join_path(run.out, f"features_{name}")
     io.write_parquet(made, path)
     made = spark.read.parquet(path)
@@ -159,3 +171,30 @@ def build_features(spark: SparkSession, run: Run, rows: DataFrame, name: str, ca
     report = {"checks": verdict, "status": verdict["status"], "schema": features.feature_schema(run.version), "summary": [r.asDict() for r in features.summary(made).collect()]}
     io.write_json(spark, io.join_path(run.out, f"feature_report_{name}.json"), report)
     return report
+
+
+def smoke_test(spark: SparkSession, out: str) -> dict:
+    """Every phase once over a few records made here, below ``out``: what each says, and FAIL unless all pass."""
+    raw = io.join_path(out, "raw")
+    names = ("Harbour Mill", "Quiet River Works", "Lantern Foods")
+    for split, mark in (("train", "s"), ("test", "t")):
+        for k in (1, 2, 3):
+            rows = [(f"{mark}{k}_{i}", name + " Ltd" * (k > 1), f"{i} Orchard Street", "US") for i, name in enumerate(names)]
+            table = spark.createDataFrame(rows, io.record_schema())
+            io.write_tsv(table, io.join_path(raw, f"{split}/{split}_source{k}.tsv"))
+    lists = [(f"s1_{i}", f"s2_{i},s3_{i}" if i else "") for i in range(len(names))]
+    io.write_tsv(spark.createDataFrame(lists, ", ".join(f"{c} string" for c in io.TRUTH_COLUMNS)), io.join_path(raw, TRUTH))
+    run = Run(raw, io.join_path(out, "smoke"), commit="smoke")
+    found = io.join_path(run.out, "candidates")
+    steps = {
+        "validate": partial(validate, spark, run), "normalize": partial(normalize_all, spark, run),
+        "training_pairs": partial(training_pairs, spark, run), "evaluate_blocking": partial(evaluate_blocking, spark, run),
+        "generate_candidates": partial(generate_candidates, spark, run),
+        "evaluate_recall": lambda: evaluate_recall(spark, found, io.join_path(raw, TRUTH), run.out, len(names), 2 * len(names)),
+        "finalize": lambda: finalize(spark, found, io.join_path(run.out, "final"), commit="smoke"),
+        "features": lambda: build_features(spark, run, spark.read.parquet(found), "candidates", True),
+    }
+    report: dict = {"steps": {name: step()["status"] for name, step in steps.items()}}
+    report["status"] = "PASS" if set(report["steps"].values()) == {"PASS"} else "FAIL"
+    io.write_json(spark, io.join_path(out, "smoke_report.json"), report)
+    return report

@@ -1,5 +1,7 @@
+import gzip
 import json
 import os
+import shutil
 import subprocess
 import sys
 import zipfile
@@ -65,6 +67,45 @@ def test_all_commands(spark, root, tmp_path):
     assert len(x.columns) == 53 and x.join(y, ["row_key", "row_copy"]).count() == y.count() == y.distinct().count() > 0
 
 
+def test_limits_and_all_features(spark, root, tmp_path):
+    out = str(tmp_path)
+    run = lambda *a: cli.main([*a], spark)
+    assert run("training-pairs", "--input", root, "--output", f"{out}/p", "--max-rows", "1") == 0
+    made = spark.read.parquet(f"{out}/p/training_pairs")
+    assert {r.source1_entity_id for r in made.collect()} == {"s1_1"}
+    assert run("generate-candidates", "--input", root, "--output", f"{out}/c", "--sample-size", "1") == 0
+    found = spark.read.parquet(f"{out}/c/candidates")
+    assert {r.source1_entity_id for r in found.collect()} == {"s1_1"}
+    assert run("features", "--input", root, "--output", f"{out}/x", "--mode", "all", "--pairs", f"{out}/c/candidates", "--training-pairs", f"{out}/p/training_pairs") == 0
+    assert spark.read.parquet(f"{out}/x/features_train").count() == made.count() and spark.read.parquet(f"{out}/x/features_candidates").count() == found.count()
+
+
+def test_smoke(spark, tmp_path):
+    assert cli.main(["smoke-test", "--output", str(tmp_path)], spark) == 0
+    assert set(json.load(open(f"{tmp_path}/smoke_report.json"))["steps"].values()) == {"PASS"}
+    with pytest.raises(SystemExit):
+        cli.main(["validate", "--output", str(tmp_path)], spark)
+
+
+def test_countries_of_the_report_are_whole(spark, root, tmp_path):
+    d = tmp_path / "raw"
+    shutil.copytree(root, d)
+    lines = "".join(f"s2_{i}\tn{i}\ta\tc{i}\n" for i in range(1500))
+    (d / "train/train_source2.tsv").write_text("\t".join(io.RECORD_COLUMNS) + "\n" + lines)
+    cli.main(["validate", "--input", str(d), "--output", f"{tmp_path}/v"], spark)
+    assert len(json.load(open(f"{tmp_path}/v/validation_report.json"))["files"]["train/train_source2.tsv"]["countries"]) == 1500
+
+
+def test_a_quoted_line_break_and_gzip_are_read(spark, tmp_path):
+    cell = '"two\nlines ""quoted"""'
+    (tmp_path / "a.tsv").write_text(f"x\ty\n1\t{cell}\n2\tplain\n")
+    assert sorted(map(tuple, io.read_tsv(spark, f"{tmp_path}/a.tsv").collect())) == [("1", 'two\nlines "quoted"'), ("2", "plain")]
+    with gzip.open(tmp_path / "b.tsv.gz", "wt") as f:
+        f.write("x\ty\n" + "".join(f"{i}\t\n" for i in range(100)))
+    table = io.read_tsv(spark, f"{tmp_path}/b.tsv.gz")
+    assert table.count() == 100 and table.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
 def test_a_missing_file_fails(spark, root, tmp_path):
     assert cli.main(["validate", "--input", str(tmp_path), "--output", f"{tmp_path}/v"], spark) == 1
 
