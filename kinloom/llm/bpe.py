@@ -214,7 +214,7 @@ def encode_documents(df: DataFrame, path: str, pattern: str, id_col: str = "doc_
 
 
 def decode_documents(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """The bytes that each array of ids stands for; a null array gives no bytes, an unknown id fails the job."""
+    """The bytes that each array of ids stands for; a null array gives no bytes, an empty table no rows, an unknown id fails the job."""
 
     def make():
         bytes_of = {v: k for k, v in read_ranks(path).items()}

@@ -2,6 +2,7 @@
 
 Conventions that hold for every operator here, unless its own docstring says otherwise:
 
+* ids are whole numbers or strings of them: an id that isn't one fails the job under ANSI rules;
 * it reads only the id and text columns it is told of, so extra columns, also ones named like its
   outputs, have no effect;
 * a null text counts as the empty text; a null id is kept and passed through;
@@ -11,7 +12,6 @@ Conventions that hold for every operator here, unless its own docstring says oth
 from __future__ import annotations
 
 import ctypes
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
+from ..sources.shared import shared_folder
+
 #: Documents that a worker handles at once; bounds what Python holds beside the Arrow batch.
 CHUNK = 512
 #: Rows of an Arrow batch while the session has Spark's default; texts are long.
@@ -93,17 +95,6 @@ def map_chunks(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], list
     return map_batches(df, run, schema)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster shares; a local one is set only where none is configured, as in tests."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        where = getattr(spark, "_kinloom_shared", None)
-        if not where:
-            where = "file://" + tempfile.mkdtemp(prefix="kinloom-")
-            spark._kinloom_shared = where
-    return where.rstrip("/")
-
-
 #: Rows of narrow tables that go into one file; tables of a few rows need no file for each partition.
 FILE_ROWS = 200_000
 

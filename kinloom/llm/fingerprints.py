@@ -13,9 +13,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType
 
-from .common import documents, held, map_batches, map_chunks
+from .common import documents, held, map_batches, map_chunks, schema_of
 
 #: Words that a worker remembers the hash of; a bound on memory alone.
 REMEMBERED = 500_000
@@ -118,7 +119,7 @@ def fingerprint_documents(df: DataFrame, k: int = 256, width: int = 5, id_col: s
 
 
 def merge_sketches(df: DataFrame, key_cols: list[str], k: int = 256, sketch_col: str = "sketch") -> DataFrame:
-    """One sketch for each key: hashes are told apart and ranked by Spark, so a hot key's rows shrink before they are gathered."""
+    """One sketch for each key; none of an empty table. Hashes are told apart and ranked by Spark, so a hot key's rows shrink before they are gathered."""
     hashes = df.select(*key_cols, F.explode(_unpack(F.col(sketch_col))).alias("h")).groupBy(*key_cols, "h").agg(F.lit(1).alias("one"))
     salted = hashes.groupBy(*key_cols, F.pmod(F.xxhash64("h"), F.lit(64)).alias("salt")).agg(F.slice(F.sort_array(F.collect_list("h")), 1, k).alias("hs"))
     return salted.groupBy(*key_cols).agg(_pack(F.slice(F.sort_array(F.flatten(F.collect_list("hs"))), 1, k)).alias(sketch_col))
@@ -139,12 +140,12 @@ def _pack(s: pd.Series) -> pd.Series:
 
 
 def with_next(docs: DataFrame, parts: int | None = None) -> DataFrame:
-    """Rows dealt by range of id and sorted, each range followed by the next one's first row (``tail``), the last by the first of all.
+    """Rows, none without an id, dealt by range of id and sorted, each range followed by the next one's first row (``tail``), the last by the first of all.
 
     Ranges come from quantiles of the ids alone. What the driver gathers is one id for each range. Text is shuffled once.
     """
     spark = docs.sparkSession
-    keyed = docs.withColumn("key", F.coalesce("doc_id", F.lit(-(2**63))))
+    keyed = docs.withColumn("key", F.col("doc_id"))
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cuts = keyed.select(F.percentile_approx("key", [i / parts for i in range(1, parts)] or [0.5], F.lit(10_000)).alias("c")).first().c or []
     bounds = np.unique(np.array(cuts, np.int64))
@@ -167,18 +168,35 @@ def with_next(docs: DataFrame, parts: int | None = None) -> DataFrame:
     return dealt.repartitionById(max(1, len(first)), "part").sortWithinPartitions("tail", "key", "text").select("tail", "doc_id", "text")
 
 
+EDITED = (
+    "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, "
+    "shingles double, contained_in_edited double, contained_in_next double"
+)
+
+
+def edited_row(doc, old: str, was: np.ndarray, text: str, own: np.ndarray, k: int, width: int) -> tuple:
+    """What is said of a text and its sketch, and the next text and its sketch."""
+    show = lambda s: base64.b64encode(s.tobytes()).decode()
+    cut = len(old) // 4
+    edited = old[: len(old) - cut] + text[:cut]
+    new = sketch(edited, k, width)
+    digest = hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest()
+    near = resemblance(was, new, k), resemblance(was, own, k), distinct_shingles(was, k), containment(was, new, k), containment(was, own, k)
+    return doc, len(old), digest, show(was), show(new), *near
+
+
 def fingerprint_edited(df: DataFrame, k: int = 256, width: int = 5, id_col: str = "doc_id", text_col: str = "text", parts: int | None = None) -> DataFrame:
     """Each text's fingerprint beside that of its edited form: the last quarter gives way to the next document's beginning.
 
-    Next is by ascending (doc_id, text), nulls first; after the last comes the first. A null or empty
-    text is edited to the empty text. Of repeated ids each row is answered, in the order of texts.
+    ``contained_in_...`` is the share of the text's shingles that the edited text or the next one has. Next is by
+    ascending (doc_id, text); after the last comes the first. Of repeated ids each row is answered, in the order
+    of texts. A null or empty text is edited to the empty text. A row without an id has no place in the order: the
+    first document counts as its next (the empty text if there is none), and it is nobody's next.
     """
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    from .common import schema_of
-
-    schema = schema_of(df.sparkSession, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, shingles double")
-    show = lambda s: base64.b64encode(s.tobytes()).decode()
+    spark = df.sparkSession
+    schema = schema_of(spark, EDITED)
+    docs = documents(df, id_col, text_col)
+    placed, lost = docs.where("doc_id is not null"), docs.where("doc_id is null")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrow, last, ended, rows = to_arrow_schema(schema), None, False, []
@@ -188,11 +206,7 @@ def fingerprint_edited(df: DataFrame, k: int = 256, width: int = 5, id_col: str
                     continue
                 own = sketch(text, k, width)
                 if last is not None:
-                    before, old, was = last
-                    cut = len(old) // 4
-                    edited = old[: len(old) - cut] + text[:cut]
-                    new = sketch(edited, k, width)
-                    rows.append((before, len(old), hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), show(was), show(new), resemblance(was, new, k), resemblance(was, own, k), distinct_shingles(was, k)))
+                    rows.append(edited_row(*last, text, own, k, width))
                 last, ended = (doc, text, own), bool(tail)
                 if len(rows) >= 256:
                     yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in rows], arrow)
@@ -200,4 +214,15 @@ def fingerprint_edited(df: DataFrame, k: int = 256, width: int = 5, id_col: str
         if rows:
             yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in rows], arrow)
 
-    return map_batches(with_next(documents(df, id_col, text_col), parts), run, schema)
+    out = map_batches(with_next(placed, parts), run, schema)
+    if lost.isEmpty():
+        return out
+    first = placed.orderBy("doc_id", "text").select("text").first()
+    text = first.text if first else ""
+
+    def make():
+        own = sketch(text, k, width)
+        rows = lambda batch: [edited_row(None, t, sketch(t, k, width), text, own, k, width) for t in batch.column(1).to_pylist()]
+        return lambda batch: [list(c) for c in zip(*rows(batch))]
+
+    return out.unionByName(map_chunks(lost, make, EDITED))

@@ -25,10 +25,11 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from .common import FILE_ROWS, documents, map_batches, map_chunks, schema_of, written
 from .fingerprints import mixed, shingle_hashes
 
-SIMILARITY, WIDTH, DEPTH, DEEPER, SPLITS, ROUNDS, BLOCK, RECALL = 0.8, 5, 3, 2, 6, 4, 2048, 0.9999
+SIMILARITY, WIDTH, DEPTH, DEEPER, SPLITS, ROUNDS, BLOCK, RECALL = 0.8, 5, 3, 2, 10, 4, 2048, 0.9999
 EMPTY = 0
-#: Bins of a sketch, and the share of equal bins below which sets are not compared: of sets of similarity 0.8 one pair in some hundred millions.
-BINS, SKETCH_LEAST = 64, 0.5
+#: Bins of a sketch, and by how many standard deviations fewer bins may be equal than similar sets have on average:
+#: one pair in some hundred millions has fewer, whatever the similarity asked for.
+BINS, DEVIATIONS = 64, 6.0
 #: Documents in a file of the filtered table, about 15 MB.
 FILE_DOCUMENTS = 4000
 #: 64-bit words of the bitmap of ids whose texts are wanted; it spares work and decides nothing.
@@ -38,12 +39,23 @@ ALONE = 20_000
 _ODD = np.uint64(0xFF51AFD7ED558CCD)
 
 
+def met(levels: int) -> float:
+    """How likely a pair at the threshold is still together ``levels`` down: it goes on with a Poisson number (mean 1) of shared followers at each."""
+    p = 1.0
+    for _ in range(levels):
+        p = 1 - math.exp(-p)
+    return p
+
+
 def runs_for(recall: float, depth: int = DEPTH) -> int:
-    """Runs after which a pair at the threshold has met with probability ``recall``: in one run it goes on with a Poisson number (mean 1) of shared followers at each level."""
-    met = 1.0
-    for _ in range(depth):
-        met = 1 - math.exp(-met)
-    return math.ceil(math.log(1 - recall) / math.log(1 - met))
+    """Runs after which a pair at the threshold has met with probability ``recall``, even if every node on its way is full in each round of splitting."""
+    through = (1 - (1 - met(DEEPER)) ** SPLITS) ** ROUNDS
+    return math.ceil(math.log(1 - recall) / math.log(1 - met(depth) * through))
+
+
+def least_equal(either: np.ndarray, similarity: float) -> np.ndarray:
+    """How many bins of similar sets are equal at least, of those that either has something in."""
+    return either * similarity - DEVIATIONS * np.sqrt(either * similarity * (1 - similarity)) - 1e-9
 
 
 def shingle_set(text: str, width: int = WIDTH) -> np.ndarray:
@@ -177,7 +189,7 @@ def promising(i: int, j: int, blocks: np.ndarray, sizes: np.ndarray, sketches: l
         rows = slice(at, min(n, at + 32))
         a, b = marks[rows, None, :], marks[None]
         equal, either = ((a == b) & (a > 0)).sum(2), ((a > 0) | (b > 0)).sum(2)
-        fit = (equal >= SKETCH_LEAST * either) & (np.minimum(sizes[rows, None], sizes[None]) >= similarity * np.maximum(sizes[rows, None], sizes[None]) - 1e-9)
+        fit = (equal >= least_equal(either, similarity)) & (np.minimum(sizes[rows, None], sizes[None]) >= similarity * np.maximum(sizes[rows, None], sizes[None]) - 1e-9)
         fit &= ~elsewhere[rows]
         if i != j:
             fit &= blocks[rows, None] != blocks[None]

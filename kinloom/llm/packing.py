@@ -89,17 +89,16 @@ def encode_parts(df: DataFrame, path: str, end_id: int, id_col: str = "doc_id",
     return map_chunks(documents(df, id_col, text_col), make, "doc_id long, part int, before long, n long, ids binary")
 
 
-def cut(encoded: DataFrame, window: int, path: str) -> DataFrame:
+def cut(encoded: DataFrame, window: int) -> DataFrame:
     """One row for each piece of a document that lies in one window."""
     totals = sorted((r.part, r.n) for r in encoded.groupBy("part").agg(F.max(F.col("before") + F.col("n")).alias("n")).collect())
     base = dict(zip((p for p, _ in totals), accumulate((n for _, n in totals), initial=0)))
 
     def make():
-        kind = word_encoder(path).kind
-
         def one(batch):
             rows = []
             for doc, part, before, n, packed in zip(*(c.to_pylist() for c in batch.columns)):
+                kind = "<u2" if len(packed) == 2 * n else "<u4"  # as the first pass packed them
                 ids, place, start = np.frombuffer(packed, kind).astype("<u4"), base[part] + before, 0
                 while start < n:
                     sequence, offset = divmod(place + start, window)
@@ -119,4 +118,4 @@ def pack_documents(df: DataFrame, path: str, end_id: int = 1, window: int = 2048
     A null or empty text is its end id alone. Repeated rows are packed once each. An empty table
     gives no pieces. The order of documents is that of the written parts, fixed once they are written.
     """
-    return cut(written(encode_parts(df, path, end_id, id_col, text_col), "packing-ids"), window, path)
+    return cut(written(encode_parts(df, path, end_id, id_col, text_col), "packing-ids"), window)

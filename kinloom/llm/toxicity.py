@@ -100,9 +100,11 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     A beginning of words becomes an entry if the share of toxic documents that have it is
     ``least_ratio`` times that of others and the likelihood ratio of that difference is ``least_g``.
-    Without toxic or without other rows the lexicon is empty and every score the prior.
+    Texts that repeat count once, with their greatest label. Without toxic or without other rows the lexicon
+    is empty and every score the prior.
     """
-    rows = labelled_sample(documents(docs, id_col, text_col), labels, label_col, size, lambda i: ~held_out(i)).dropDuplicates(["text"]).select("label", "text")
+    sample = labelled_sample(documents(docs, id_col, text_col), labels, label_col, size, lambda i: ~held_out(i))
+    rows = sample.groupBy("text").agg(F.max("label").alias("label")).select("label", "text")
 
     def count():
         def one(batch):
@@ -136,7 +138,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         hits = lexicon.automaton()
         return lambda batch: [batch.column(0), [feature(w, n) for w, _, n in (weigh(t, hits) for t in batch.column(1).to_pylist())]]
 
-    seen = map_chunks(rows.select("label", "text"), measure, "label int, x double").collect()
+    seen = sorted(map_chunks(rows.select("label", "text"), measure, "label int, x double").collect())  # sums that don't depend on the order of rows
     slope, offset = logistic([r.x for r in seen], [r.label for r in seen])
     return Lexicon(weights, slope=slope, offset=offset)
 

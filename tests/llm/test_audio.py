@@ -43,6 +43,52 @@ def test_segments_have_hysteresis():
     assert audio.segments(level(3, 3, 3)) == []
 
 
+def slow_mel(x, rate):
+    """Log-mel by definition: one frame, one frequency and one triangle at a time."""
+    frames = max(1, -(-(len(x) - audio.FRAME) // audio.HOP) + 1)
+    hz = lambda m: 700 * (10 ** (m / 2595) - 1)
+    top = 2595 * np.log10(1 + rate / 2 / 700)
+    edges = [hz(top * k / (audio.MELS + 1)) for k in range(audio.MELS + 2)]
+    out = np.empty((frames, audio.MELS))
+    n = np.arange(audio.FRAME)
+    for f in range(frames):
+        part = np.zeros(audio.FRAME)
+        own = x[f * audio.HOP : f * audio.HOP + audio.FRAME]
+        part[: len(own)] = own
+        part *= 0.5 - 0.5 * np.cos(2 * np.pi * n / audio.FRAME)
+        power = [abs((part * np.exp(-2j * np.pi * k * n / audio.FRAME)).sum()) ** 2 for k in range(audio.FRAME // 2 + 1)]
+        for m, (a, b, c) in enumerate(zip(edges, edges[1:], edges[2:])):
+            weigh = lambda hz, a=a, b=b, c=c: max(0.0, min((hz - a) / (b - a), (c - hz) / (c - b)))
+            out[f, m] = np.log10(sum(p * weigh(k * rate / audio.FRAME) for k, p in enumerate(power)) + audio.FLOOR)
+    return out
+
+
+def slow_segments(mel):
+    loud = [10 * np.log10(sum(10.0**v for v in row)) for row in mel]
+    mean, on, out = sum(loud) / len(loud), False, []
+    for i, x in enumerate([*loud, float("-inf")]):
+        if not on and i < len(loud) and x - mean >= audio.BEGINS:
+            on, first = True, i
+        elif on and x - mean < audio.ENDS:
+            on = False
+            out.append((first, i))
+    return out
+
+
+def test_features_by_definition():
+    """Patches, spans and segments of whole files; loudness near a level may fall to either side."""
+    for t in ("", "ab" * 300, "Silence   then  WORDS " * 40, "\x01\x7f" * 500 + "a" * 900):
+        media = audio.store(audio.padded(t)[0])
+        p, spans, loud = audio.features(media)
+        x = audio.resample((np.frombuffer(audio.load(media)[1], np.uint8).astype(np.float32) - 128) / 128).astype(float)
+        mel = slow_mel(x, 5000)
+        whole = p.reshape(-1, audio.MELS)
+        assert np.allclose(whole[: len(mel)], mel, atol=2e-3) and np.allclose(whole[len(mel) :], np.log10(audio.FLOOR))
+        assert len(p) == len(spans) == -(-len(mel) // audio.PATCH) and spans[0][0] == 0
+        ms = 1000 * audio.HOP / 5000
+        assert loud == [(round(a * ms, 3), round((b + 1) * ms, 3)) for a, b in slow_segments(mel)]
+
+
 def test_operator_and_tensors(spark, make_docs):
     docs = make_docs([(0, None), (1, "abc " * 9000), (2, "abc " * 9000), (None, "x")]).selectExpr("*", "1 as media")
     rows = {r.doc_id: r for r in audio.media_columns(docs).collect()}

@@ -36,21 +36,41 @@ def test_merge_operator(spark, make_docs, real_texts):
         assert (np.frombuffer(bytes(r.sketch), "<u8") == whole).all()
 
 
+def test_containment(real_texts):
+    """Of a text in one that begins with it all shingles are contained; of two others as brute force says."""
+    texts = [t for t in real_texts.text if len(t) > 200]
+    for a, b in zip(texts, texts[1:]):
+        x, both = fp.sketch(a), fp.sketch(a + " " + b)
+        assert fp.containment(x, both) >= 0.97 and fp.containment(np.empty(0, np.uint64), x) == 1.0
+        half = a[: len(a) // 2] + b[: len(b) // 2]
+        own, other = set(fp.shingle_hashes(a).tolist()), set(fp.shingle_hashes(half).tolist())
+        assert abs(fp.containment(x, fp.sketch(half)) - len(own & other) / len(own)) < 0.3
+
+
 @pytest.mark.parametrize("parts", [1, 4, 40])
 def test_edited_against_brute_force(spark, make_docs, parts):
-    rows = [*enumerate(odd_texts(), 7), (3, None), (90, "a b c d e f " * 30), (90, "a b c d e f " * 30), (None, "first of all words here now")]
-    ordered = sorted([(-1 if i is None else i, t or "") for i, t in rows])
-    got = fp.fingerprint_edited(make_docs(rows).repartition(5), parts=parts).toPandas()
-    assert len(got) == len(rows)
+    placed = [*enumerate(odd_texts(), 7), (3, None), (90, "a b c d e f " * 30), (90, "a b c d e f " * 30)]
+    lost = [(None, "first of all words here now"), (None, None), (None, "first of all words here now")]
+    ordered = sorted((i, t or "") for i, t in placed)
+    got = fp.fingerprint_edited(make_docs(placed + lost).repartition(5), parts=parts).toPandas()
+    assert len(got) == len(placed) + len(lost)
     want = []
-    for (i, t), (_, u) in zip(ordered, ordered[1:] + ordered[:1]):
+    following = list(zip(ordered, ordered[1:] + ordered[:1])) + [((-1, t or ""), ordered[0]) for _, t in lost]
+    for (i, t), (_, u) in following:
         m = len(t) // 4
         e = t[: len(t) - m] + u[:m]
-        want.append((i, len(t), hashlib.sha256(e.encode()).hexdigest(), fp.resemblance(fp.sketch(t), fp.sketch(e)), fp.resemblance(fp.sketch(t), fp.sketch(u))))
-    have = [(-1 if r.doc_id != r.doc_id else int(r.doc_id), r.n_chars, r.edited_sha256, r.near_edited, r.near_next) for r in got.itertuples()]
+        x, y, z = map(fp.sketch, (t, e, u))
+        digest = hashlib.sha256(e.encode()).hexdigest()
+        want.append((i, len(t), digest, fp.resemblance(x, y), fp.resemblance(x, z), fp.containment(x, y), fp.containment(x, z)))
+    have = [(-1 if r.doc_id != r.doc_id else int(r.doc_id), r.n_chars, r.edited_sha256, r.near_edited, r.near_next, r.contained_in_edited, r.contained_in_next) for r in got.itertuples()]
     assert sorted(have) == sorted(want)
 
 
+def test_ids_that_are_all_null(spark, make_docs):
+    rows = fp.fingerprint_edited(make_docs([(None, "abcdefgh"), (None, "x")])).collect()
+    assert sorted(r.edited_sha256 for r in rows) == sorted(hashlib.sha256(t).hexdigest() for t in (b"abcdef", b"x"))
+
+
 def test_one_row_and_none(spark, make_docs):
     one = fp.fingerprint_edited(make_docs([(1, "abcdefgh")])).collect()
     assert [r.edited_sha256 for r in one] == [hashlib.sha256(b"abcdefab").hexdigest()] and one[0].near_next == 1.0

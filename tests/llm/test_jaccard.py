@@ -82,6 +82,45 @@ def test_recall_at_the_threshold():
     assert met >= 398
 
 
+@pytest.mark.parametrize(("similarity", "block"), [(0.5, 2048), (0.8, 2048), (0.9, 2048), (0.5, 16), (0.8, 16), (0.9, 16)])
+def test_recall_against_brute_force(spark, make_docs, monkeypatch, similarity, block):
+    """Pairs just above the threshold, of 30 to 400 shingles; in small blocks a crowd of them fills its nodes. All links of the brute force are found but one in a hundred at most."""
+    monkeypatch.setattr(jj, "BLOCK", block)
+    r = random.Random(int(100 * similarity) + block)
+    rows = []
+
+    def near(base):
+        """The text with words exchanged so that its shingles are hardly more similar than asked for; each costs five."""
+        text, n = list(base), len(base)
+        for k in range(int((1 - similarity) / (1 + similarity) * n / 5)):
+            text[min(n - 1, 2 + 5 * k)] = f"y{r.randrange(10**9)}"
+        return text
+
+    for g in range(60):
+        base = [f"w{g}x{k}" for k in range(r.choice([40, 60, 150, 400]))]
+        rows += [(2 * g, " ".join(base)), (2 * g + 1, " ".join(near(base)))]
+    crowd = [f"crowd{k}" for k in range(120)]
+    rows += [(1000 + k, " ".join(near(crowd))) for k in range(60 if block == 16 else 5)]
+    want, got = brute(rows, similarity), result(jj.similarity_join(make_docs(rows), similarity=similarity))
+    found, links = sum(n for *_, n in got), sum(n for *_, n in want)
+    assert links >= 60 and 0.99 * links <= found <= links
+    assert sum(a == b for a, b in zip(got, sorted(want, key=str))) >= 0.99 * len(rows)
+
+
+def test_sketches_of_similar_sets_are_let_through():
+    r = np.random.default_rng(3)
+    for similarity in (0.4, 0.5, 0.8, 0.9, 1.0):
+        for _ in range(300):
+            n = int(r.integers(8, 800))
+            alone = int(n * (1 - similarity) / (1 + similarity))
+            parts = [np.unique(r.integers(0, 2**64 - 1, k, np.uint64)) for k in (n - alone, alone, alone)]
+            a, b = np.union1d(parts[0], parts[1]), np.union1d(parts[0], parts[2])
+            true = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+            elsewhere = np.zeros((2, 2), bool)
+            sizes, marks = np.array([len(a), len(b)]), [jj.sketch_of(a), jj.sketch_of(b)]
+            assert jj.promising(0, 0, np.zeros(2, int), sizes, marks, elsewhere, true).all()
+
+
 def test_odd_rows(spark, make_docs):
     rows = [*enumerate(odd_texts()), (20, None), (21, ""), (None, "a b c d e f"), (None, "a b c d e f"), (30, "A b c  d e f"), (30, "A b c  d e f"), (31, "x y"), (31, "another text under one id")]
     assert result(jj.similarity_join(make_docs(rows).selectExpr("*", "1 as class", "2 as links"))) == sorted(brute(rows), key=str)
