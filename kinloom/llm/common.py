@@ -116,3 +116,16 @@ def written(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def bucketed(df: DataFrame, name: str, buckets: int, by: str, parts: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` as a table in the shared folder, in ``buckets`` by a hash of ``by``: joins and groups by it need no shuffle.
+
+    Rows should be dealt by ``by`` already, or each task writes a file for every bucket.
+    """
+    spark = df.sparkSession
+    tag = f"{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    out = df.write.option("compression", "zstd").option("path", f"{shared_folder(spark)}/{tag}")
+    out = out.partitionBy(*parts) if parts else out
+    out.bucketBy(buckets, by).saveAsTable(tag)
+    return spark.read.table(tag)
