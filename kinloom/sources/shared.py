@@ -61,7 +61,9 @@ def kept(spark: SparkSession, source: str, name: str, make: Callable[[], DataFra
 
 
 def spread(table: DataFrame) -> DataFrame:
-    """A scan of few large parts, such as one unsplittable file, dealt to all cores; one of many parts as it is."""
+    """A scan of few large parts, such as one unsplittable file, dealt to all cores; one of many parts as it is, and what isn't a mere scan too."""
+    planned = table._jdf.queryExecution()
+    if "AdaptiveSparkPlan" in planned.executedPlan().toString():
+        return table
     cores = table.sparkSession.sparkContext.defaultParallelism
-    few = table._jdf.queryExecution().toRdd().getNumPartitions() < cores
-    return table.repartition(cores) if few else table
+    return table.repartition(cores) if planned.toRdd().getNumPartitions() < cores else table
