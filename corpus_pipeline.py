@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from kinloom.llm import pipeline_stages as stages
 from kinloom.llm.common import read_table, written
+from kinloom.sources.shared import spread
 
 STAGES = [
     ("quality", stages.keep_good),
@@ -21,7 +22,7 @@ ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    docs = read_table(spark, sf_dir, "documents")
+    docs = spread(read_table(spark, sf_dir, "documents"))
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs

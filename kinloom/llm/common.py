@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
-from ..sources.shared import shared_folder
+from ..sources.shared import shared_folder, spread
 
 #: Documents that a worker handles at once; bounds what Python holds beside the Arrow batch.
 CHUNK = 512
@@ -39,7 +39,8 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
 
 
 def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    return df.select(df[id_col].cast("long").alias("doc_id"), F.coalesce(df[text_col].cast("string"), F.lit("")).alias("text"))
+    """Ids and whole texts, dealt to all cores where the scan has fewer parts."""
+    return spread(df.select(df[id_col].cast("long").alias("doc_id"), F.coalesce(df[text_col].cast("string"), F.lit("")).alias("text")))
 
 
 _held: dict[str, object] = {}
