@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import lru_cache
 
 import regex
@@ -39,9 +40,9 @@ def whole_tokens(path: str) -> frozenset[str]:
 class Counter(Remembering):
     """Pre-token -> number of tokens: one for the proved ones; others are merged when they come."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, whole: frozenset[str] | None = None):
         super().__init__()
-        self.library, self.whole = library(path), whole_tokens(path)
+        self.library, self.whole = library(path), whole_tokens(path) if whole is None else whole
         self.find = regex.compile(SPLIT).findall
         self.letters = {b: c for b, c in byte_letters().items() if chr(b) != c}
         self.marks = [t["content"] for t in read_vocabulary(path)["added_tokens"] if t["special"]]
@@ -72,20 +73,22 @@ def _back() -> dict[str, int]:
     return {c: b for b, c in byte_letters().items()}
 
 
-def counter(path: str) -> Counter:
-    """One for each worker process, kept from task to task."""
-    return held(f"counter {path}", lambda: Counter(path))
+def counter(path: str, whole: Callable[[], frozenset[str]] | None = None) -> Counter:
+    """One for each worker process, kept from task to task; ``whole`` gives what is proved already."""
+    return held(f"counter {path}", lambda: Counter(path, whole() if whole else None))
 
 
 def count_tokens(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = 1024) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit for every whole text, as the library counts with its defaults.
 
     A special string inside a text is one token. A null or empty text has no bytes and no tokens.
-    Repeated rows are answered once each.
+    Repeated rows are answered once each. The proof of whole tokens is made once, by the driver, and sent to the
+    workers: it has at most as many strings as the vocabulary.
     """
+    proved = df.sparkSession.sparkContext.broadcast(whole_tokens(path))
 
     def make():
-        count = counter(path).count
+        count = counter(path, lambda: proved.value).count
 
         def one(batch):
             texts = batch.column(1).to_pylist()
