@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from itertools import accumulate
 
 import numpy as np
@@ -28,17 +29,21 @@ WORDS, PIECES = 500_000, 250_000
 UNUSUAL = re.compile("[^\t\n\r -~¡-įı-ɏ]")
 
 
+#: Signs that end a word and are a pre-token of their own.
+SIGNS = frozenset(".,;:!?")
+
+
 class Pieces(Remembering):
     """Pre-token -> packed ids, merged by the library's model."""
 
-    def __init__(self, model, kind: np.dtype):
+    def __init__(self, model, kind: str):
         super().__init__(PIECES)
-        self.model, self.kind = model, kind
+        self.tokenize, self.kind = model.tokenize, kind
         self.letters = {b: c for b, c in byte_letters().items() if chr(b) != c}
 
     def make(self, piece: str) -> bytes:
         raw = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.model.tokenize(raw)], self.kind).tobytes()
+        return array(self.kind, [t.id for t in self.tokenize(raw)]).tobytes()
 
 
 class WordEncoder(Remembering):
@@ -52,10 +57,14 @@ class WordEncoder(Remembering):
         self.library = Tokenizer.from_file(path)
         self.marks = [t["content"] for t in spec["added_tokens"]]
         size = 1 + max(*spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"]))
-        self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
-        self.find, self.pieces = regex.compile(SPLIT).findall, Pieces(self.library.model, self.kind)
+        self.kind = np.dtype("u2" if size <= 1 << 16 else "u4")
+        self.find, self.pieces = regex.compile(SPLIT).findall, Pieces(self.library.model, self.kind.char)
 
     def make(self, word: str) -> bytes:
+        if word.isalpha():  # letters alone are one pre-token
+            return self.pieces.make(word)
+        if word[-1] in SIGNS and word[:-1].isalpha():
+            return self[word[:-1]] + self.pieces[word[-1]]
         return b"".join(map(self.pieces.__getitem__, self.find(word)))
 
     def encode(self, text: str) -> bytes:
@@ -98,7 +107,7 @@ def cut(encoded: DataFrame, window: int) -> DataFrame:
         def one(batch):
             rows = []
             for doc, part, before, n, packed in zip(*(c.to_pylist() for c in batch.columns)):
-                kind = "<u2" if len(packed) == 2 * n else "<u4"  # as the first pass packed them
+                kind = "u2" if len(packed) == 2 * n else "u4"  # as the first pass packed them
                 ids, place, start = np.frombuffer(packed, kind).astype("<u4"), base[part] + before, 0
                 while start < n:
                     sequence, offset = divmod(place + start, window)
