@@ -7,13 +7,15 @@ matches, what features need of a record) is written once for each state of the d
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import blocking, features, normalize, pairs
-from ..sources.shared import kept, spread
+from ..sources import tables
+from ..sources.shared import kept, shared_folder, spread
 
 #: Ids in one list of the ground truth, on average; the matches of a larger group of copies take several rows.
 LIST = 500
@@ -173,3 +175,10 @@ def training(spark: SparkSession, sf_dir: str) -> DataFrame:
         return pairs.positives(edges).unionByName(drawn)
 
     return _kept(spark, sf_dir, "training-pairs", make)
+
+
+def by_tsv(spark: SparkSession, sf_dir: str, name: str, make, compression: str = "none") -> DataFrame:
+    """``make()`` written as TSV below the shared folder and read back."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}.tsv"
+    tables.write_tsv(make(), path, compression=compression)
+    return tables.read_tsv(spark, path)

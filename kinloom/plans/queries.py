@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import blocking, candidates, features, normalize, pairs, quality, recall, truth
+from ..sources import tables
 from ..sources.shared import spread
 from ..sources.tables import NORMAL_COLUMNS
 from . import adapters, oracle as o
@@ -122,6 +123,56 @@ def normalization_summary(spark, sf_dir):
     return normalize.summary(adapters.all_records(spark, sf_dir), adapters.normal(spark, sf_dir))
 
 
+# -- files --------------------------------------------------------------------------------------
+
+_FOUR = "entity_id, business_name, business_address, country"
+
+
+@query(_RAW + f"SELECT {_FOUR} FROM records")
+def records_by_tsv(spark, sf_dir):
+    """Records written as TSV and read back: whole texts with quotes, tabs and line breaks."""
+    return adapters.by_tsv(spark, sf_dir, "records", lambda: adapters.all_records(spark, sf_dir).select(*_FOUR.split(", ")))
+
+
+@query(_RAW + f"SELECT {_FOUR} FROM records")
+def records_by_gzip(spark, sf_dir):
+    """The same in gzip files, which are dealt to all cores after reading."""
+    return adapters.by_tsv(spark, sf_dir, "records", lambda: adapters.all_records(spark, sf_dir).select(*_FOUR.split(", ")), "gzip")
+
+
+@query(o.base(o.TRUTH) + "SELECT * FROM edges")
+def truth_by_tsv(spark, sf_dir):
+    """Ground truth as lists in a file, its shape told by its columns."""
+    return truth.positives(adapters.by_tsv(spark, sf_dir, "truth", lambda: adapters.truth(spark, sf_dir)))
+
+
+@query(o.base(o.TRUTH) + "SELECT * FROM edges")
+def truth_of_labelled_pairs(spark, sf_dir):
+    """Ground truth from training pairs in a file: the labelled ones that are positive."""
+    return truth.positives(adapters.by_tsv(spark, sf_dir, "labelled", lambda: adapters.training(spark, sf_dir)))
+
+
+@query(o.base(o.TRUTH) + "SELECT * FROM edges")
+def truth_of_two_columns(spark, sf_dir):
+    """Ground truth from a file of two plain columns."""
+    plain = lambda: adapters.matches(spark, sf_dir).select(F.col("s1").alias("left_id"), F.col("t").alias("right_id"))
+    return truth.positives(adapters.by_tsv(spark, sf_dir, "plain", plain))
+
+
+@query(_RAW + f"SELECT {_FOUR} FROM records WHERE source = 1 AND entity_id IN (SELECT entity_id FROM records WHERE source = 1 ORDER BY entity_id LIMIT 50)")
+def records_of_a_sample(spark, sf_dir):
+    """Records whose ids are in a sample (a report of fifty)."""
+    s1, _, _ = adapters.sources(spark, sf_dir)
+    return tables.only_ids(s1, s1.select("entity_id").orderBy("entity_id").limit(50))
+
+
+@query(_RAW + f"SELECT {_FOUR}, 'Source ' || source AS target_source FROM records WHERE source > 1 ORDER BY source, entity_id LIMIT 100")
+def first_targets(spark, sf_dir):
+    """The first hundred targets, source 2 before source 3 (a sampling operator)."""
+    _, s2, s3 = adapters.sources(spark, sf_dir)
+    return blocking.targets(s2, s3, 100)
+
+
 # -- truth --------------------------------------------------------------------------------------
 
 _TRUTH = o.base(o.TRUTH)

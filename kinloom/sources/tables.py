@@ -99,7 +99,8 @@ def write_tsv(table: DataFrame, path: str, order: Iterable[str] = (), compressio
     """A folder of TSV files; with ``order`` the rows are in order from file to file."""
     rows = table.orderBy(*order) if order else table
     rows = rows.select(*[F.array_join(c, ",").alias(c) if t.startswith("array") else F.col(c) for c, t in table.dtypes])
-    rows.write.mode("overwrite").options(sep="\t", header=True, quote='"', escape='"', emptyValue="", compression=compression).csv(path)
+    out = rows.write.mode("overwrite").options(sep="\t", header=True, quote='"', escape='"', emptyValue="", compression=compression)
+    out.options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)  # blanks at the ends stay
 
 
 def write_parquet(table: DataFrame, path: str, partition_by: Iterable[str] = ()) -> None:
