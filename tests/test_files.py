@@ -1,6 +1,7 @@
 import gzip
 import json
 import os
+import random
 import shutil
 import subprocess
 import sys
@@ -106,6 +107,17 @@ def test_a_quoted_line_break_and_gzip_are_read(spark, tmp_path):
     assert table.count() == 100 and table.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
 
 
+def test_cells_come_back_as_they_were(spark, tmp_path):
+    """Generated cells of quotes, tabs, line breaks, backslashes and blanks, written and read back."""
+    draw = random.Random(1)
+    parts = ['"', "\t", "\n", "\r", "\\", " ", "a", "é", ",", "'", '""']
+    rows = [(str(i), "".join(draw.choices(parts, k=draw.randint(0, 6))), "".join(draw.choices(parts, k=draw.randint(0, 6)))) for i in range(800)]
+    table = spark.createDataFrame(rows, "id string, x string, y string")
+    for kind in ("none", "gzip"):
+        io.write_tsv(table, f"{tmp_path}/{kind}.tsv", compression=kind)
+        assert sorted(map(tuple, io.read_tsv(spark, f"{tmp_path}/{kind}.tsv").collect())) == sorted(rows)
+
+
 def test_a_missing_file_fails(spark, root, tmp_path):
     assert cli.main(["validate", "--input", str(tmp_path), "--output", f"{tmp_path}/v"], spark) == 1
 
