@@ -299,7 +299,9 @@ def join_classes(docs: DataFrame, table: DataFrame, width: int, similarity: floa
         # a pair at a node goes on together once on average only, so a full node is entered as often as makes up for it
         again = full.select("class", "path", F.explode(F.sequence(F.lit(1), F.lit(SPLITS))).alias("turn")).select("class", F.xxhash64("path", "turn").alias("path"))
         stays = full.count()
-        below = written(map_chunks(again.join(whole, "class").select("class", "path", "tokens"), split, "class long, path long"), "paths-below", 10 * stays)
+        # sets meet their nodes in all tasks; only the narrow rows that come of it are dealt to few files
+        below = map_chunks(again.join(whole, "class").select("class", "path", "tokens"), split, "class long, path long")
+        below = written(below.repartition(-(-10 * stays // FILE_ROWS)), "paths-below")
         met_below = written(_met(below), "paths-met-below", stays)
         deeper = below.join(met_below, "path").select("path", "class", "members")
         if deeper.where(F.col("members") > BLOCK).agg(F.count(F.lit(1)).alias("n")).first().n >= stays:
