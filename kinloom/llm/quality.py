@@ -125,7 +125,7 @@ def wide(df: DataFrame, key: str, value: str) -> DataFrame:
     return df.groupBy(key).agg(*[F.max(F.when(F.col("model") == m, F.col(value))).alias(f"{value}{m}") for m in MODELS])
 
 
-def kneser_ney(counts: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
+def kneser_ney(counts: DataFrame, files: int = 8) -> list[tuple[DataFrame, DataFrame]]:
     """For each order from 1: seen n-grams with their probability, and contexts with the share they leave to the lower order, a column for each model."""
     tables = [counts]
     for order in range(ORDER - 1, 0, -1):  # below the top an n-gram counts once for each symbol seen before it
@@ -145,17 +145,19 @@ def kneser_ney(counts: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
         else:
             joined = joined.withColumn("suffix", suffix(F.col("gram"), order - 1)).join(lower.select("model", F.col("gram").alias("suffix"), F.col("p").alias("q")), ["model", "suffix"])
             below = F.col("q")
-        lower = written(joined.select("model", "gram", ((F.col("n") - F.col("d")) / F.col("total") + share * below).alias("p")), f"ngram-{order}", 8 * FILE_ROWS)
-        left = written(wide(contexts.select("model", "context", share.alias("left")), "context", "left"), f"contexts-{order}", 8 * FILE_ROWS)
-        out.append((written(wide(lower, "gram", "p"), f"seen-{order}", 8 * FILE_ROWS), left))
+        lower = written(joined.select("model", "gram", ((F.col("n") - F.col("d")) / F.col("total") + share * below).alias("p")), f"ngram-{order}", files * FILE_ROWS)
+        left = written(wide(contexts.select("model", "context", share.alias("left")), "context", "left"), f"contexts-{order}", files * FILE_ROWS)
+        out.append((written(wide(lower, "gram", "p"), f"seen-{order}", files * FILE_ROWS), left))
     return out
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", size: int = 20_000) -> list[tuple[DataFrame, DataFrame]] | None:
-    """The models of at most ``size`` trusted documents (label over 0), chosen by a hash of their id; None without any."""
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", size: int | None = None) -> list[tuple[DataFrame, DataFrame]] | None:
+    """The models of all trusted documents (label over 0), or of at most ``size``, chosen by a hash of their id; None without any."""
     trusted = pick(labels, doc_id="doc_id", quality=label_col).where("quality > 0")
-    counts = written(count_grams(labelled_sample(documents(docs, id_col, text_col), trusted, "quality", size, lambda i: F.lit(True))), "ngram-counts", 8 * FILE_ROWS)
-    return None if counts.isEmpty() else kneser_ney(counts)
+    learned = trusted.agg(F.count_distinct("doc_id")).first()[0]
+    files = 8 * -(-min(learned, size or learned) // 20_000)
+    counts = written(count_grams(labelled_sample(documents(docs, id_col, text_col), trusted, "quality", size, lambda i: F.lit(True))), "ngram-counts", files * FILE_ROWS)
+    return None if counts.isEmpty() else kneser_ney(counts, files)
 
 
 def log10_of(asked: DataFrame, orders: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
@@ -297,7 +299,7 @@ def judged(scores: DataFrame, labels: DataFrame, quantile: float) -> DataFrame:
     return out.select("doc_id", "lang", "block", "at", "symbols", "log10_prob", "perplexity", threshold.alias("threshold"), keep.alias("keep"))
 
 
-def classify(df: DataFrame, labels: DataFrame, size: int = 20_000, quantile: float = 0.998) -> DataFrame:
+def classify(df: DataFrame, labels: DataFrame, size: int | None = None, quantile: float = 0.998) -> DataFrame:
     """Perplexity, threshold and ``keep`` of every document (doc_id, text, lang).
 
     A language without trusted documents has the threshold of all; without any trusted document, and
@@ -309,7 +311,7 @@ def classify(df: DataFrame, labels: DataFrame, size: int = 20_000, quantile: flo
     return judged(written_scores(df, orders), labels, quantile).drop("block", "at")
 
 
-def keep_good(df: DataFrame, labels: DataFrame, size: int = 20_000, quantile: float = 0.998) -> DataFrame:
+def keep_good(df: DataFrame, labels: DataFrame, size: int | None = None, quantile: float = 0.998) -> DataFrame:
     """``df`` (with doc_id, text, lang) without the documents that ``classify`` rejects, which are known by block and place."""
     orders = train(df, labels, size=size)
     if orders is None:

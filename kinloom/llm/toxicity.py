@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
+from ..sources.shared import broadcast_if_small
 from .common import documents, map_chunks, pick, small_batches
 
 #: Look-alikes of Latin letters, digits and signs that stand for letters.
@@ -88,10 +89,13 @@ def held_out(doc_id, fold: int = 3, rest: int = 1):
     return F.crc32(doc_id.cast("string")) % fold == rest
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, size: int, allowed) -> DataFrame:
-    """At most ``size`` labelled documents, chosen by a hash of their id; the only rows that are fitted on."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, size: int | None, allowed) -> DataFrame:
+    """At most ``size`` labelled documents, chosen by a hash of their id, or all of them without a size; the only rows that are fitted on."""
     chosen = pick(labels, doc_id="doc_id", label=label).where(F.col("label").isNotNull() & F.col("doc_id").isNotNull()).where(allowed(F.col("doc_id")))
-    chosen = chosen.groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(size)
+    chosen = chosen.groupBy("doc_id").agg(F.max("label").alias("label"))
+    if size is None:
+        return docs.join(broadcast_if_small(chosen, 32), "doc_id")
+    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(size)
     return docs.join(F.broadcast(chosen), "doc_id")
 
 

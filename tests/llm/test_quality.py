@@ -188,3 +188,10 @@ def test_thresholds_and_decisions_by_brute_force(spark):
         assert x.threshold == pytest.approx(limit.get(x.lang, limit[None]), rel=1e-5)
         assert x.keep == (x.perplexity <= x.threshold or x.symbols <= 1)
     assert sum(not x.keep for x in got) > 40
+
+
+def test_all_trusted_documents_are_learned_from(spark, monkeypatch):
+    docs = spark.range(20_050).selectExpr("id as doc_id", "'a' as text")
+    learned = []
+    monkeypatch.setattr(quality, "count_grams", lambda texts: learned.append(texts.count()) or texts.limit(0))
+    assert quality.train(docs, docs.selectExpr("doc_id", "1 as quality")) is None and learned == [20_050]
