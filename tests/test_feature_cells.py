@@ -94,7 +94,7 @@ def test_trigrams_are_windows_of_characters(spark):
     assert {r.i: sorted(r.q) for r in made} == {i: sorted({n[k : k + 3] for k in range(len(n) - 2)}) if n else [] for i, n in enumerate(names)}
 
 
-@pytest.mark.parametrize("name", ["features_candidates", "feature_checks"])
+@pytest.mark.parametrize("name", ["features_candidates", "feature_summary", "feature_checks"])
 def test_features_shuffle_neither_pairs_nor_records(spark, name):
     plan = entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     joins = [x for x in plan.splitlines() if "Join" in x or "partitioning(" in x]
