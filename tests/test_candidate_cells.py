@@ -43,14 +43,19 @@ def test_degrees_are_those_of_the_rows(blocked, twice):
     assert rows(candidates.cell_degrees(blocked, MODE)) == rows(want) and want.first().pairs > 100
 
 
-@pytest.mark.parametrize("name", ["candidate_degrees"])
+def test_contributions_are_those_of_the_rows(blocked, twice):
+    want = candidates.contributions(candidates.final(candidates.marked(twice)))
+    assert rows(candidates.cell_contributions(blocked, MODE, STRATEGIES)) == rows(want) and want.count() == 5
+
+
+@pytest.mark.parametrize("name", ["candidate_degrees", "strategy_contributions"])
 def test_counts_are_made_in_cells(spark, name):
     """No pair leaves its cell: ids of targets are nowhere in the plan."""
     plan = entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "target_entity_id" not in plan and "CartesianProduct" in plan
 
 
-@pytest.mark.parametrize("name", ["candidate_degrees"])
+@pytest.mark.parametrize("name", ["candidate_degrees", "strategy_contributions"])
 def test_repeated_ids_count_a_pair_once(spark, tmp_path, name):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
     docs.write.parquet(str(tmp_path / "once/documents.parquet"))
