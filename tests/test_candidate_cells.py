@@ -48,14 +48,22 @@ def test_contributions_are_those_of_the_rows(blocked, twice):
     assert rows(candidates.cell_contributions(blocked, MODE, STRATEGIES)) == rows(want) and want.count() == 5
 
 
-@pytest.mark.parametrize("name", ["candidate_degrees", "strategy_contributions"])
+def test_checks_are_those_of_the_rows(blocked, twice):
+    want = candidates.final_checks(candidates.marked(twice))
+    got = candidates.cell_checks(blocked, MODE, twice=1)
+    assert got.columns == want.columns and got.first() == want.first()
+    assert min(want.first()[k] for k in ("duplicates", "bad_s1_ids", "bad_target_ids", "bad_sources")) > 0
+    assert candidates.cell_checks(blocked, MODE, expected=10**6).first().c7_count == "WARN"
+
+
+@pytest.mark.parametrize("name", ["candidate_degrees", "strategy_contributions", "final_candidate_checks"])
 def test_counts_are_made_in_cells(spark, name):
     """No pair leaves its cell: ids of targets are nowhere in the plan."""
     plan = entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "target_entity_id" not in plan and "CartesianProduct" in plan
 
 
-@pytest.mark.parametrize("name", ["candidate_degrees", "strategy_contributions"])
+@pytest.mark.parametrize("name", ["candidate_degrees", "strategy_contributions", "final_candidate_checks"])
 def test_repeated_ids_count_a_pair_once(spark, tmp_path, name):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
     docs.write.parquet(str(tmp_path / "once/documents.parquet"))
