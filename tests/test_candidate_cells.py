@@ -56,6 +56,17 @@ def test_checks_are_those_of_the_rows(blocked, twice):
     assert candidates.cell_checks(blocked, MODE, expected=10**6).first().c7_count == "WARN"
 
 
+def test_final_pairs_are_those_of_the_rows(spark, blocked, twice):
+    assert rows(candidates.cell_final(blocked, MODE, STRATEGIES)) == rows(candidates.final(candidates.marked(twice)))
+
+
+def test_names_are_looked_up_or_joined(spark):
+    many = tuple(f"k{i:02d}" for i in range(9, -1, -1))
+    for known in (STRATEGIES, many):
+        got = spark.range(32).select(candidates._named(F.col("id").cast("int"), known).alias("a"), F.array_join(F.array_sort(F.array_compact(F.array(*[F.when(F.col("id").bitwiseAND(1 << b) != 0, k) for b, k in enumerate(known)]))), ",").alias("b"))
+        assert got.where("a <> b").count() == 0
+
+
 @pytest.mark.parametrize("name", ["candidate_degrees", "strategy_contributions", "final_candidate_checks"])
 def test_counts_are_made_in_cells(spark, name):
     """No pair leaves its cell: ids of targets are nowhere in the plan."""
