@@ -58,6 +58,11 @@ def test_checks_are_those_of_the_rows(blocked, twice):
 
 def test_final_pairs_are_those_of_the_rows(spark, blocked, twice):
     assert rows(candidates.cell_final(blocked, MODE, STRATEGIES)) == rows(candidates.final(candidates.marked(twice)))
+    tests = twice.select(F.col("source1_entity_id").alias("entity_id")).union(twice.select("target_entity_id")).distinct().where("substring(entity_id, -1) in ('1', '3')")
+    want = candidates.final(candidates.marked(twice, tests))
+    assert rows(candidates.cell_final(cells.flagged(blocked, tests), MODE, STRATEGIES)) == rows(want) and 0 < want.count() < twice.count() - 100
+    nothing = cells.flagged(blocked, tests.limit(0))
+    assert candidates.cell_final(nothing, MODE, STRATEGIES).count() == candidates.cell_final(blocked, MODE, STRATEGIES).count()
 
 
 def test_names_are_looked_up_or_joined(spark):
